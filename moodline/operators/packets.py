@@ -43,7 +43,7 @@ def build_packets(
     info = F.struct(
         F.lit(server_host).alias("server_host"),
         F.lit(server_port).cast("int").alias("server_port"),
-        (zero if active_clients is None else active_clients).cast("bigint").alias("active_clients"),
+        (zero if active_clients is None else active_clients).cast("int").alias("active_clients"),
         (zero if total_sent is None else total_sent).cast("bigint").alias("total_tweets_sent"),
         (F.lit(0.0) if uptime is None else uptime).cast("double").alias("server_uptime"),
         F.substring_index(client, ":", 1).alias("client_ip"),

@@ -35,7 +35,7 @@ SERVER_INFO = T.StructType(
     [
         T.StructField("server_host", T.StringType()),
         T.StructField("server_port", T.IntegerType()),
-        T.StructField("active_clients", T.LongType()),
+        T.StructField("active_clients", T.IntegerType()),
         T.StructField("total_tweets_sent", T.LongType()),
         T.StructField("server_uptime", T.DoubleType()),
         T.StructField("client_ip", T.StringType()),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from moodline.operators.batches import full_batches
 from moodline.schemas import MESSAGE
@@ -58,10 +57,9 @@ def read_results_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_full_batches(results: DataFrame, path: str, mode: str = "error") -> None:
-    """Complete batches only, a folder per batch number.
+    """Complete batches only, as JSON lines that carry ``client`` and ``batch_id``.
 
-    The rows are brought together by client and batch first, so that each folder gets
-    few files and a client with many batches still spreads.
+    Rows of a batch are already together. There is no folder per batch number: a busy
+    client would make one for every ten messages.
     """
-    batches = full_batches(results)
-    batches.repartition(F.col("client"), F.col("batch_id")).write.mode(mode).partitionBy("batch_id").json(path)
+    full_batches(results).write.mode(mode).option("ignoreNullFields", False).json(path)

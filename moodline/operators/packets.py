@@ -5,6 +5,8 @@ All functions are row-wise and work on batch and streaming DataFrames alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,12 +75,15 @@ def _metrics_map() -> Column:
     return F.when(known, F.create_map(*pairs)).otherwise(nothing)
 
 
-def encode_packets(packets: DataFrame) -> DataFrame:
-    """One JSON text per packet, null fields kept and non-ASCII characters as they are."""
+def encode_packets(packets: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON text per packet, null fields kept and non-ASCII characters as they are.
+
+    Columns named in ``keep`` stay beside the text.
+    """
     fields = [
         _metrics_map().alias(name) if name == "public_metrics" else F.col(name) for name in packets.columns
     ]
-    return packets.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+    return packets.select(*keep, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def decode_lines(lines: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,11 +23,6 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
-def not_blank(text: Column) -> Column:
-    """True for a text with something else than white space."""
-    return strip(text) != ""
-
-
 def clip(text: Column, chars: int) -> Column:
     """The first ``chars`` characters, with dots only when something was cut."""
     return F.concat(F.substring(text, 1, chars), F.when(F.length(text) > chars, "...").otherwise(""))
@@ -39,3 +36,13 @@ def clip_always(text: Column, chars: int) -> Column:
 def non_empty(text: Column) -> Column:
     """NULL in place of an empty string."""
     return F.nullif(text, F.lit(""))
+
+
+def once(value: Column, describe: Callable[[Column], Column]) -> Column:
+    """``describe(value)`` with both evaluated once per row; for ``select`` only.
+
+    Filters on a costly column are otherwise pushed below its projection, where they
+    evaluate it again. They are not pushed below a generator, and this one gives
+    exactly one row per row.
+    """
+    return F.explode_outer(F.transform(F.array(value), describe))

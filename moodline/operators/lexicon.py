@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.functions.text import tokens
+from moodline.functions.text import once, tokens
 from moodline.schemas import LEXICON
 
 MAX_INDEX_ROWS = 50_000
@@ -234,35 +234,43 @@ def with_hits(
     df: DataFrame,
     lexicon: DataFrame,
     text: str = "text",
-    hit_facts: Mapping[str, Callable[[Column], Column]] | None = None,
-    text_facts: Mapping[str, Column] | None = None,
+    hit_facts: Mapping[str, Callable[[Column, Column], Column]] | None = None,
+    text_facts: Mapping[str, Callable[[Column, Column], Column]] | None = None,
 ) -> DataFrame:
     """Add ``_hits``, the tokens found in the lexicon as (pos, entry, facts), and ``_count`` of all tokens.
 
-    Facts are expressions over the token array ``_tokens``: of a hit's position, or of
-    the text. They are taken here because the array goes no further; carrying it
-    through later steps costs as much as the lookup.
+    Facts are functions of the token array and of a hit's position, or of the token
+    array and all hits. They are taken here because the array goes no further: passing it on from step to step
+    costs as much as the lookup.
     """
-    hit_facts = hit_facts or {}
-    facts = {"_count": F.size("_tokens").cast("bigint"), **(text_facts or {})}
-    tokenised = df.withColumn("_tokens", tokens(F.col(text)))
+    hit_facts, text_facts = hit_facts or {}, text_facts or {}
 
-    def hit(pos: Column, entry: Column) -> Column:
-        return F.struct(pos.alias("pos"), entry.alias("entry"), *[f(pos).alias(n) for n, f in hit_facts.items()])
+    def hit(words: Column, pos: Column, entry: Column) -> Column:
+        facts = [fact(words, pos).alias(name) for name, fact in hit_facts.items()]
+        return F.struct(pos.alias("pos"), entry.alias("entry"), *facts)
+
+    def found(words: Column, hits: Column) -> Column:
+        def describe(known: Column) -> Column:
+            facts = [fact(words, known).alias(name) for name, fact in text_facts.items()]
+            return F.struct(known.alias("_hits"), F.size(words).cast("bigint").alias("_count"), *facts)
+
+        return F.get(F.transform(F.array(hits), describe), F.lit(0))
 
     index = build_index(lexicon)
     if index is None:
-        found = _join_hits(tokenised, lexicon)
-        hits = F.transform("_joined_hits", lambda h: hit(h["pos"], h["entry"]))
-    else:
-        found = tokenised
+        joined = _join_hits(df.withColumn("_tokens", tokens(F.col(text))), lexicon)
+        hits = F.transform("_joined_hits", lambda h: hit(F.col("_tokens"), h["pos"], h["entry"]))
+        return joined.select(*df.columns, found(F.col("_tokens"), hits).alias("_found")).select(*df.columns, "_found.*")
 
-        def look_up(token: Column, pos: Column) -> Column:
+    def look_up(words: Column) -> Column:
+        def entry_hit(token: Column, pos: Column) -> Column:
             entry = index.entry(F.lower(token))
-            return F.when(entry.isNotNull(), hit(pos, entry))
+            return F.when(entry.isNotNull(), hit(words, pos, entry))
+
+        return found(words, F.filter(F.transform(words, entry_hit), lambda h: h.isNotNull()))
 
-        hits = F.filter(F.transform("_tokens", look_up), lambda h: h.isNotNull())
-    return found.select(*df.columns, hits.alias("_hits"), *[fact.alias(name) for name, fact in facts.items()])
+    looked_up = df.select(*df.columns, once(tokens(F.col(text)), look_up).alias("_found"))
+    return looked_up.select(*df.columns, "_found.*")
 
 
 def _join_hits(tokenised: DataFrame, lexicon: DataFrame) -> DataFrame:

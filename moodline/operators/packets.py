@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from moodline.functions.labels import label_compound, label_polarity
 from moodline.functions.report import iso_text
-from moodline.functions.text import non_empty, not_blank, strip
+from moodline.functions.text import non_empty, once, strip
 from moodline.schemas import METRICS, PACKET
 
 _DECODE_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
@@ -94,14 +94,25 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     the wrong type is only NULL. A control line is any object that *has* the key
     ``type``, whatever its value.
     """
-    stripped = lines.filter(not_blank(F.col("value"))).withColumn("value", strip(F.col("value")))
-    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    decoded = stripped.withColumn("_items", F.from_json(wrapped, f"array<{PACKET.simpleString()}>", _DECODE_OPTIONS))
-    keys = F.json_object_keys("value")
-    return decoded.select(
-        *[c for c in decoded.columns if c != "_items"],
-        F.when(F.size("_items") == 1, F.get("_items", F.lit(0))).alias("packet"),
-        F.coalesce(F.array_contains(keys, _CONTROL_KEY), F.lit(False)).alias("is_control"),
+
+    def decode(line: Column) -> Column:
+        wrapped = F.concat(F.lit("["), line, F.lit("]"))
+        return F.struct(
+            line.alias("line"),
+            F.from_json(wrapped, f"array<{PACKET.simpleString()}>", _DECODE_OPTIONS).alias("items"),
+            F.json_object_keys(line).alias("keys"),
+        )
+
+    others = [c for c in lines.columns if c != "value"]
+    return (
+        lines.select(*others, once(strip(F.col("value")), decode).alias("_decoded"))
+        .filter(F.col("_decoded.line") != "")
+        .select(
+            *others,
+            F.col("_decoded.line").alias("value"),
+            F.when(F.size("_decoded.items") == 1, F.get("_decoded.items", F.lit(0))).alias("packet"),
+            F.coalesce(F.array_contains("_decoded.keys", _CONTROL_KEY), F.lit(False)).alias("is_control"),
+        )
     )
 
 

@@ -74,52 +74,63 @@ def _is_capitals(token: Column) -> Column:
     return (F.upper(token) == token) & (F.lower(token) != token)
 
 
-def _hit_facts(level: int, words: Words) -> dict[str, Callable[[Column], Column]]:
+def _hit_facts(level: int, words: Words) -> dict[str, Callable[[Column, Column], Column]]:
     """What the level needs to know about the neighbourhood of a hit."""
 
-    def before(pos: Column, distance: int) -> Column:
+    def before(tokens: Column, pos: Column, distance: int) -> Column:
         place = pos - F.lit(distance)
-        return F.when(place >= 0, F.lower(F.get(F.col("_tokens"), place)))
+        return F.when(place >= 0, F.lower(F.get(tokens, place)))
 
     def among(group: Sequence[str], token: Column) -> Column:
         return F.coalesce(token.isin(list(group)), F.lit(False))
 
-    def negated(pos: Column) -> Column:
-        return reduce(or_, [among(words.negators, before(pos, d)) for d in BOOST_PERCENT])
+    def negated(tokens: Column, pos: Column) -> Column:
+        return reduce(or_, [among(words.negators, before(tokens, pos, d)) for d in BOOST_PERCENT])
 
-    def boost(pos: Column) -> Column:
+    def boost(tokens: Column, pos: Column) -> Column:
         return reduce(
             add,
             [
-                F.when(among(words.raisers, before(pos, d)), BOOST * percent // 100)
-                .when(among(words.dampers, before(pos, d)), -BOOST * percent // 100)
+                F.when(among(words.raisers, before(tokens, pos, d)), BOOST * percent // 100)
+                .when(among(words.dampers, before(tokens, pos, d)), -BOOST * percent // 100)
                 .otherwise(0)
                 .cast("bigint")
                 for d, percent in BOOST_PERCENT.items()
             ],
         )
 
-    facts: dict[str, Callable[[Column], Column]] = {}
+    facts: dict[str, Callable[[Column, Column], Column]] = {}
     if level >= NEGATION:
         facts["negated"] = negated
     if level >= BOOSTERS:
         facts["boost"] = boost
     if level >= EMPHASIS:
-        facts["loud"] = lambda pos: _is_capitals(F.get(F.col("_tokens"), pos))
+        facts["loud"] = lambda tokens, pos: _is_capitals(F.get(tokens, pos))
     return facts
 
 
-def _text_facts(level: int, text: str) -> dict[str, Column]:
+def _text_facts(level: int) -> dict[str, Callable[[Column, Column], Column]]:
+    """Facts of the whole text; not looked for where no hit can need them."""
     if level < EMPHASIS:
-        return {"_marks": F.lit(0).cast("bigint")}
+        return {}
+
+    def mixed_case(tokens: Column, hits: Column) -> Column:
+        loud = F.size(F.filter(tokens, _is_capitals))
+        return F.when(F.exists(hits, lambda hit: hit["loud"]), loud < F.size(tokens)).otherwise(F.lit(False))
+
+    def first_but(tokens: Column, hits: Column) -> Column:
+        place = F.array_position(F.transform(tokens, F.lower), F.lit("but"))
+        return F.when(F.size(hits) > 0, F.nullif(place, F.lit(0)) - 1)
+
+    return {"_mixed_case": mixed_case, "_but": first_but}
+
+
+def _marks(level: int, text: str) -> Column:
+    """What the exclamation marks add, in units."""
+    if level < EMPHASIS:
+        return F.lit(0).cast("bigint")
     marks = F.length(text) - F.length(F.replace(F.col(text), F.lit("!")))
-    loud = F.size(F.filter("_tokens", _is_capitals))
-    but = F.array_position(F.transform("_tokens", F.lower), F.lit("but"))
-    return {
-        "_marks": F.least(marks, F.lit(MAX_EXCLAMATIONS)).cast("bigint") * F.lit(EXCLAMATION),
-        "_mixed_case": (loud > 0) & (loud < F.size("_tokens")),
-        "_but": F.nullif(but, F.lit(0)) - 1,
-    }
+    return F.least(marks, F.lit(MAX_EXCLAMATIONS)).cast("bigint") * F.lit(EXCLAMATION)
 
 
 def _valence(hit: Column, level: int) -> Column:
@@ -198,9 +209,9 @@ def score_compound(
     A NULL text cannot be scored: 0, 0, 0 and neutral 1. A text without tokens gets 0
     everywhere.
     """
-    found = with_hits(df, lexicon, text, _hit_facts(level, words), _text_facts(level, text))
+    found = with_hits(df, lexicon, text, _hit_facts(level, words), _text_facts(level))
     scores = _compound_columns(text)
-    return found.withColumn("_parts", _parts(level)).select(
+    return found.withColumns({"_parts": _parts(level), "_marks": _marks(level, text)}).select(
         *df.columns, *[score.alias(name) for name, score in scores.items()]
     )
 
@@ -222,9 +233,9 @@ def score_messages(
     words: Words = DEFAULT_WORDS,
 ) -> DataFrame:
     """Both scores with one tokenisation and one lookup."""
-    found = with_hits(df, lexicon, text, _hit_facts(level, words), _text_facts(level, text))
+    found = with_hits(df, lexicon, text, _hit_facts(level, words), _text_facts(level))
     means = {"polarity": _mean_of_hits("polarity"), "subjectivity": _mean_of_hits("subjectivity")}
     scores = _compound_columns(text)
-    return found.withColumns({"_parts": _parts(level), **means}).select(
+    return found.withColumns({"_parts": _parts(level), "_marks": _marks(level, text), **means}).select(
         *df.columns, *[score.alias(name) for name, score in scores.items()], *means
     )

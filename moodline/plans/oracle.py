@@ -365,7 +365,7 @@ FROM ranked WHERE r <= 50 GROUP BY client""",
 SELECT client, seq, substring(text, 1, 120) || CASE WHEN length(text) > 120 THEN '...' ELSE '' END AS shown_text,
        CASE compound_sentiment WHEN 'positive' THEN '😊' WHEN 'negative' THEN '😞' ELSE '😐' END
          || ' ' || upper(compound_sentiment) AS shown_label,
-       round(compound_score, 3) AS shown_score, round(processing_time * 1000, 1) AS shown_ms,
+       round(compound_score, 3) AS shown_score, round(processing_time * 1000, 3) AS shown_ms,
        repeat('█', (arrival - 1) % 10 + 1) || repeat('░', 9 - (arrival - 1) % 10) AS progress,
        strftime(event_time, '%H:%M:%S') AS shown_time, format('{{:,}}', seq * 1000) AS shown_count
 FROM batched""",

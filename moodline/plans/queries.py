@@ -223,7 +223,7 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         clip(F.col("text"), 120).alias("shown_text"),
         F.concat_ws(" ", report.symbol(label), F.upper(label)).alias("shown_label"),
         F.round("compound_score", 3).alias("shown_score"),
-        F.round(F.col("processing_time") * 1000, 1).alias("shown_ms"),
+        F.round(F.col("processing_time") * 1000, 3).alias("shown_ms"),
         report.progress_bar(in_batch.cast("int")).alias("progress"),
         report.clock(F.col("event_time")).alias("shown_time"),
         report.thousands(F.col("seq") * 1000).alias("shown_count"),
@@ -347,7 +347,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _score_lines(spark, _line_stream(spark, sf_dir))
     timed = results.withColumn("event_time", F.to_timestamp("timestamp"))
-    return _run(spark, progress.batch_progress(timed), "batches")
+    return _run(spark, progress.batch_progress(timed, idle_minutes=None), "batches")
 
 
 def stream_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,12 @@ numbers only, and a micro-batch is bounded by the source's ``maxFilesPerTrigger`
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -30,6 +32,9 @@ from moodline.operators.batches import (
     time_micros,
 )
 
+# The state function travels with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _COUNTS = ["positive_count", "negative_count", "neutral_count"]
 _SIGNS = [1, -1, 0]
 
@@ -87,7 +92,7 @@ def _batches(client: str, kept: np.ndarray, fresh: np.ndarray, totals: np.ndarra
     return pd.DataFrame(out)
 
 
-def _advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, idle_ms: int) -> Iterator[pd.DataFrame]:
+def _advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, idle_ms: int | None) -> Iterator[pd.DataFrame]:
     totals, kept = np.zeros(3, dtype=np.int64), np.empty((0, len(_FIELDS)), dtype=np.int64)
     if state.exists:
         _, *counts, blob = state.get
@@ -105,14 +110,17 @@ def _advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, idle
     totals = totals + [int((fresh[:, 1] == value).sum()) for value in _SIGNS]
     kept = np.ascontiguousarray(np.concatenate([kept, fresh])[-_KEPT:])
     state.update((int(totals.sum()), *[int(t) for t in totals], kept.tobytes()))
-    state.setTimeoutDuration(idle_ms)
+    if idle_ms is not None:
+        state.setTimeoutDuration(idle_ms)
 
 
-def batch_progress(results: DataFrame, idle_minutes: float = 10) -> DataFrame:
+def batch_progress(results: DataFrame, idle_minutes: float | None = 10) -> DataFrame:
     """Stream of batch summaries with the client's totals and recent history at that point.
 
     A client that stays silent for ``idle_minutes`` has ended: its open batch is
-    summarised and its state removed.
+    summarised and its state removed. A query that takes what there is and stops needs
+    None here, as waiting for silence would keep it running; summarise open batches
+    from the stored results then (``batches.batch_summary``).
     """
     sign = F.when(is_label(POSITIVE), 1).when(is_label(NEGATIVE), -1).otherwise(0)
     rows = results.select(
@@ -123,13 +131,14 @@ def batch_progress(results: DataFrame, idle_minutes: float = 10) -> DataFrame:
         F.coalesce(time_micros(), F.lit(0).cast("bigint")).alias("micros"),
         F.coalesce(F.unix_micros("event_time"), F.lit(0).cast("bigint")).alias("event_micros"),
     )
-    idle_ms = int(idle_minutes * 60_000)
+    idle_ms = None if idle_minutes is None else int(idle_minutes * 60_000)
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
 
     def advance(key, chunks, state):
         return _advance(key, chunks, state, idle_ms)
 
     emitted = rows.groupBy("client").applyInPandasWithState(
-        advance, _OUTPUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        advance, _OUTPUT, _STATE, "append", timeout
     )
     mean = mean_score(F.col("steps"), F.col("batch_size"))
     recent = mean_score(F.col("recent_steps"), F.col("recent_results"))

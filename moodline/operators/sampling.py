@@ -37,12 +37,16 @@ def draw_with_replacement(
     their size allows it. Without messages there are no draws.
     """
     total = messages.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # a session is a short row that becomes ``n`` whole messages: keep all partitions
+    partitions = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draws = (
-        sessions.select(session, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
+        sessions.repartition(partitions, session)
+        .select(session, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
         .withColumn("_idx", F.pmod(hashed(F.lit(seed), F.col(session), F.col("draw")), F.nullif(total, F.lit(0))))
         .withColumn("stream_id", stream_id(seed, F.col(session), F.col("draw")))
     )
-    indexed = with_index(messages, order, "_idx", chunk_rows)
+    # the same partitioning serves a shuffled join; it spreads a table numbered in one chunk
+    indexed = with_index(messages, order, "_idx", chunk_rows).repartition(partitions, "_idx")
     return draws.join(indexed, "_idx").drop("_idx")
 
 

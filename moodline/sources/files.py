@@ -9,6 +9,7 @@ from moodline.schemas import MESSAGE
 
 # Only "\n" ends a line on the wire; Spark would also break at "\r".
 _LINE_END = "\n"
+_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -47,13 +48,16 @@ def write_results_json(results: DataFrame, path: str, mode: str = "error") -> No
 
 
 def write_results_csv(results: DataFrame, path: str, mode: str = "error") -> None:
-    """All results as CSV with a header. Empty strings and NULL look the same in CSV."""
-    results.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """All results as CSV with a header. Empty strings and NULL look the same in CSV.
+
+    Texts keep the white space at their ends, which Spark would strip.
+    """
+    results.write.mode(mode).options(header=True, quoteAll=True, **_CSV).csv(path)
 
 
 def read_results_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Results written by ``write_results_csv``; texts may hold line ends."""
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return spark.read.schema(schema).options(header=True, multiLine=True, **_CSV).csv(path)
 
 
 def write_full_batches(results: DataFrame, path: str, mode: str = "error") -> None:

@@ -237,7 +237,9 @@ def with_hits(
     hit_facts: Mapping[str, Callable[[Column, Column], Column]] | None = None,
     text_facts: Mapping[str, Callable[[Column, Column], Column]] | None = None,
 ) -> DataFrame:
-    """Add ``_hits``, the tokens found in the lexicon as (pos, entry, facts), and ``_count`` of all tokens.
+    """Add ``_hits``, the tokens found in the lexicon as (pos, entry, facts), and the ``_count`` of all tokens.
+
+    ``_unscored`` tells a NULL text from one without tokens.
 
     Facts are functions of the token array and of a hit's position, or of the token
     array and all hits. They are taken here because the array goes no further: passing it on from step to step
@@ -252,7 +254,8 @@ def with_hits(
     def found(words: Column, hits: Column) -> Column:
         def describe(known: Column) -> Column:
             facts = [fact(words, known).alias(name) for name, fact in text_facts.items()]
-            return F.struct(known.alias("_hits"), F.size(words).cast("bigint").alias("_count"), *facts)
+            count = F.size(words).cast("bigint").alias("_count")
+            return F.struct(known.alias("_hits"), count, F.isnull(words).alias("_unscored"), *facts)
 
         return F.get(F.transform(F.array(hits), describe), F.lit(0))
 

@@ -175,7 +175,7 @@ def _mean_of_hits(field: str) -> Column:
     return F.coalesce(total / F.nullif(F.size("_hits").cast("bigint") * 1000, F.lit(0)), F.lit(0.0))
 
 
-def _compound_columns(text: str) -> dict[str, Column]:
+def _compound_columns() -> dict[str, Column]:
     """The formula over ``_parts``, ``_marks`` and ``_count``; a NULL text cannot be scored."""
     parts, marks = F.col("_parts"), F.col("_marks")
     total = (parts["total"] + _sign(parts["total"]) * marks) / F.lit(float(UNIT))
@@ -183,7 +183,7 @@ def _compound_columns(text: str) -> dict[str, Column]:
     down = parts["down"] + F.when(parts["down"] > parts["up"], marks).otherwise(0)
     flat = (F.col("_count") - parts["felt"]) * UNIT
     whole = F.nullif(up + down + flat, F.lit(0))
-    unscored = F.col(text).isNull()
+    unscored = F.col("_unscored")
 
     def share(part: Column, fallback: float) -> Column:
         return F.when(unscored, fallback).otherwise(F.coalesce(F.round(part / whole, 3), F.lit(0.0)))
@@ -210,7 +210,7 @@ def score_compound(
     everywhere.
     """
     found = with_hits(df, lexicon, text, _hit_facts(level, words), _text_facts(level))
-    scores = _compound_columns(text)
+    scores = _compound_columns()
     return found.withColumns({"_parts": _parts(level), "_marks": _marks(level, text)}).select(
         *df.columns, *[score.alias(name) for name, score in scores.items()]
     )
@@ -235,7 +235,7 @@ def score_messages(
     """Both scores with one tokenisation and one lookup."""
     found = with_hits(df, lexicon, text, _hit_facts(level, words), _text_facts(level))
     means = {"polarity": _mean_of_hits("polarity"), "subjectivity": _mean_of_hits("subjectivity")}
-    scores = _compound_columns(text)
+    scores = _compound_columns()
     return found.withColumns({"_parts": _parts(level), "_marks": _marks(level, text), **means}).select(
         *df.columns, *[score.alias(name) for name, score in scores.items()], *means
     )

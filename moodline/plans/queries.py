@@ -11,7 +11,7 @@ from moodline.functions import report
 from moodline.functions.labels import label_compound, label_polarity, trend_label
 from moodline.functions.text import clip
 from moodline.operators import batches, delivery, messages, packets, sampling, scoring
-from moodline.plans import adapters
+from moodline.plans import adapters, flows
 from moodline.session import new_shared_path
 from moodline.sources import files
 from moodline.streaming import feed, monitor, progress
@@ -302,10 +302,15 @@ def _drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serve_and_analyse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draw, wrap, encode, receive, score and summarise in batches of ten."""
-    drawn = _drawn(spark, sf_dir).withColumn("seq", F.col("draw"))
-    sent = packets.build_packets(drawn, stream_timestamp=F.substring("created_at", 1, 19))
-    results = _score_lines(spark, packets.encode_packets(sent))
-    return batches.batch_summary(results.withColumn("event_time", F.to_timestamp("timestamp")))
+    lines = flows.serve(
+        adapters.messages(spark, sf_dir).drop("client"),
+        adapters.sessions(spark, sf_dir),
+        seed=SAMPLE_SEED,
+        order=("seq",),
+        stream_timestamp=F.substring("created_at", 1, 19),
+    )
+    seconds = F.length("original_text") / F.lit(1e6)
+    return flows.analyse(lines, adapters.lexicon(spark), scoring.PLAIN, adapters.WORDS, seconds)
 
 
 # -- streaming --------------------------------------------------------------------

@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, small_dir, second_engine, name):
 
 
 def test_contract(spark):
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.oracle_sql()) <= set(driver.queries())
     assert driver.entry(spark).columns[:3] == ["client", "batch_id", "batch_size"]
 
 

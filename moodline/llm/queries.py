@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import curriculum, line_chunks, ngram_join, packing, quality_rules
+from moodline.llm import cotraining, curriculum, line_chunks, ngram_join, nn_descent, packing, quality_rules, site_style, toxicity, warc
 from moodline.llm.tables import table
 
 
@@ -13,6 +13,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"), "doc_id")
     return quality_rules.apply_policy(rows).select(
@@ -20,6 +24,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op5_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extracted(table(spark, sf_dir, "pages"))
+
+
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = curriculum.plan(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken", "position").orderBy(F.col("position").asc_nulls_last(), "doc_id")
@@ -29,14 +45,23 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_removed", "text")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_cotraining": op2_cotraining,
     "op3_quality_rules": op3_quality_rules,
+    "op4_warc_derivatives": op4_warc_derivatives,
+    "op5_site_style": op5_site_style,
+    "op6_nn_descent": op6_nn_descent,
     "op7_curriculum": op7_curriculum,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }

@@ -101,6 +101,7 @@ def _first_by_hash(rows: DataFrame, n: int) -> DataFrame:
 
 def trained(docs: DataFrame, labels: DataFrame) -> tuple | float:
     """The two views' models and their combination, or a prior where labels are of one class."""
+    docs = docs.select("doc_id", "text", "source", "lang", "n_chars")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
     fold = (F.crc32(F.col("doc_id").cast("string")) % 5).cast("int")
     chosen = _first_by_hash(known.withColumn("fold", fold).where("fold != 0"), TRAIN_ROWS)

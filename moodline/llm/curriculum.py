@@ -34,8 +34,9 @@ WEIGHTS = (1, 2, 3)
 
 
 def sized(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep``, ``source`` and ``size``, the number of words of the whole text."""
-    return docs.select(*keep, "source", F.coalesce(F.size(words_of(F.col("text"))), F.lit(0)).cast("long").alias("size"))
+    """``keep``, ``doc_id``, ``source``, ``size``, the number of words of the whole text, and ``place``, its order within the source."""
+    size = F.coalesce(F.size(words_of(F.col("text"))), F.lit(0)).cast("long")
+    return docs.select(*keep, "doc_id", "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("place"))
 
 
 def _filled(sizes: list[int], weights: list[int]) -> list[float]:
@@ -92,34 +93,34 @@ def _position(share: Column, kind: Column) -> Column:
 
 
 def plan(docs: DataFrame, *keep: str) -> DataFrame:
-    """Per document: ``keep``, source, size, source_size, target, taken, position.
+    """Per row: ``keep``, doc_id, source, size, source_size, target, kind, start, taken, position.
 
-    ``start`` is the words of the source before it; ``position`` that of its first copy,
-    in [0, 1] of training, NULL if it is not taken. ``doc_id`` is needed.
+    ``start`` is the number of the source's words before it, ``kind`` its source's
+    schedule, ``position`` that of its first copy in [0, 1] of training, NULL if it is
+    not taken.
     """
-    keep = tuple(dict.fromkeys(("doc_id", *keep)))
-    rows = staged(sized(docs, *keep), "sizes")
-    named = targets(rows)
-    same = rows["source"].eqNullSafe(named["source"])
-    # One row per source, made on the driver: as small as the list of sources.
-    joined = rows.join(named, same).drop(named["source"])
-    place = F.xxhash64("doc_id")
-    keyed = joined.withColumn("place", place).withColumn("bucket", F.floor((F.shiftrightunsigned("place", 11) / F.lit(float(1 << 53))) * F.col("buckets")))
-    totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    narrow = staged(sized(docs), "sizes")
+    named = targets(narrow)
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        # One row per source, made on the driver: as small as the list of sources.
+        joined = rows.join(named, rows["source"].eqNullSafe(named["source"])).drop(named["source"])
+        share = F.shiftrightunsigned("place", 11) / F.lit(float(1 << 53))
+        return joined.withColumn("bucket", F.floor(share * F.col("buckets")))
+
+    totals = bucketed(narrow).groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("source", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before"))
+    offsets = totals.select(F.col("source").alias("o_source"), F.col("bucket").alias("o_bucket"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before"))
     within = Window.partitionBy("source", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = keyed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    o = offsets.withColumnsRenamed({"source": "o_source", "bucket": "o_bucket"})
-    placed = inside.join(o, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("bucket") == F.col("o_bucket")))
+    inside = bucketed(sized(docs, *keep) if keep else narrow).withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = inside.join(offsets, F.col("source").eqNullSafe(F.col("o_source")) & (F.col("bucket") == F.col("o_bucket")))
     start = F.col("before") + F.col("inside")
     whole = F.floor(F.col("target")).cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = whole - rounds * F.col("source_size")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - start))
-    out = placed.select(*keep, "source", "size", "source_size", "target", "kind", start.alias("start"), taken.cast("long").alias("taken"))
-    first = F.when(F.col("taken") > 0, _position(F.col("start") / F.col("target"), F.col("kind")))
-    return out.withColumn("position", first)
+    out = placed.select(*keep, "doc_id", "source", "size", "source_size", "target", "kind", start.alias("start"), taken.cast("long").alias("taken"))
+    return out.withColumn("position", F.when(F.col("taken") > 0, _position(F.col("start") / F.col("target"), F.col("kind"))))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -127,17 +128,11 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     A copy that is cut keeps its first words, joined by single spaces.
     """
-    names = docs.columns
-    whole = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("_row"), F.col("text").alias("_text"))
-    narrow = plan(docs)
-    # Copies of a row with one doc_id and size share a plan row, so that a join does not multiply them.
-    per = narrow.where("taken > 0").dropDuplicates(["doc_id", "size", "source"]).drop("position")
-    per = per.withColumnsRenamed({"doc_id": "p_id", "source": "p_source"})
-    size = F.coalesce(F.size(words_of(F.col("_text"))), F.lit(0)).cast("long")
-    same = F.col("doc_id").eqNullSafe(F.col("p_id")) & F.col("source").eqNullSafe(F.col("p_source")) & (size == F.col("size"))
-    copies = whole.join(per, same).withColumn("copy", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")) - 1)))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    planned = plan(docs.select("doc_id", "source", "text", row.alias("row")), "row", "text").where("taken > 0")
+    copies = planned.withColumn("copy", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)))
     left = F.col("taken") - F.col("copy") * F.col("size")
-    text = F.when(left >= F.col("size"), F.col("_text")).otherwise(F.array_join(F.slice(words_of(F.col("_text")), 1, left.cast("int")), " "))
+    text = F.when(left >= F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(words_of(F.col("text")), 1, left.cast("int")), " "))
     at = _position((F.col("start") + F.col("copy") * F.col("source_size")) / F.col("target"), F.col("kind"))
-    out = copies.select("_row", text.alias("text"), at.alias("_at"), "doc_id", "copy").orderBy("_at", "doc_id", "copy")
-    return out.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in names])
+    out = copies.select("row", text.alias("text"), at.alias("at"), "doc_id", "copy").orderBy("at", "doc_id", "copy")
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

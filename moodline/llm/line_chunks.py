@@ -10,8 +10,8 @@ its bytes were compared with the first.
 
 Defined results: NULL and empty texts stay as they are; documents that lose every
 chunk stay as rows with an empty text; rows that agree in ``doc_id`` and text are
-treated alike; further columns are carried along under any name but the operator's
-own ``_k1``, ``_k2`` and ``_gone``. NULL ``doc_id`` sorts first.
+treated alike; further columns are carried along, whatever their names. NULL
+``doc_id`` sorts first.
 
 Only narrow rows are grouped. Chunk texts move twice: to be joined with the repeated
 keys, a join that adaptive execution can split for a hot chunk, and the repeated ones
@@ -69,8 +69,10 @@ def _chunks(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns but the text), ``doc_id``, ``text``, and a key of two hashes of these two."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     own = [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("_k2")]
-    return docs.select("*", *own)
+    return docs.select(row.alias("row"), "doc_id", "text", *own)
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -96,28 +98,26 @@ def repeats(docs: DataFrame) -> DataFrame:
     return same.select("at._k1", "at._k2", "at.place").distinct()
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with later copies of repeated chunks taken out of ``text``, and their number as ``n_removed``.
+def _rebuilt(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns but the text), ``text`` without later copies, ``n_removed``."""
+    gone = repeats(docs).groupBy("_k1", "_k2").agg(F.collect_list("place").alias("gone"))
+    both = _keyed(docs).drop("doc_id").join(gone, ["_k1", "_k2"], "left")
+
+    def kept(parts: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+        return F.array_join(F.transform(places, lambda p: F.get(parts, p)["body"]), "\n")
 
-    The row order is not kept.
-    """
-    names = [c for c in docs.columns if c != "text"]
-    gone = repeats(docs).groupBy("_k1", "_k2").agg(F.collect_list("place").alias("_gone"))
-    both = _keyed(docs).join(gone, ["_k1", "_k2"], "left")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(bound(_chunks(F.col("text")), kept))
+    return both.select("row", F.coalesce(F.array_size("gone"), F.lit(0)).alias("n_removed"), once(text, lambda t: t).alias("text"))
 
-    def rebuilt(parts: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-        return F.array_join(F.transform(kept, lambda p: F.get(parts, p)["body"]), "\n")
 
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(bound(_chunks(F.col("text")), rebuilt))
-    removed = F.coalesce(F.array_size("_gone"), F.lit(0)).alias("n_removed")
-    return both.select(*[F.col(f"`{c}`") for c in names], removed, once(text, lambda t: t).alias("text"))
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """Per row: ``doc_id``, its ``text`` without later copies of repeated chunks, and their number, ``n_removed``."""
+    return _rebuilt(docs).select("row.doc_id", "n_removed", "text")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with their own columns; ``n_chars``, if there is one, follows the text."""
-    out = deduplicated(docs)
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast("long")
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+    own = {"text": F.col("text"), "n_chars": F.coalesce(length, F.col("row.n_chars")).alias("n_chars") if "n_chars" in docs.columns else None}
+    return _rebuilt(docs).select(*[own[c] if c in own else F.col(f"row.`{c}`") for c in docs.columns])

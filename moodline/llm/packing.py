@@ -17,7 +17,10 @@ rows are packed as often as they appear; further columns do not matter.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -31,7 +34,10 @@ from moodline.llm.tables import staged
 CAPACITY = 4096
 END = 1
 SALT_ROWS = 50_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
+LEARN_ROWS = 250
+MARKS = b".,;:!?*#$%&"
+_MARKS_TOGETHER = re.compile(rb"[^a-z0-9\x20\x09-\x0d][.,][\x20\n]")
 VOCABULARY = "word_bpe_49k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 Slots = tuple[tuple[int, int], ...]
@@ -47,21 +53,71 @@ class _Ids(dict):
     """Token ids of a run of non-blank bytes, as little-endian bytes; forgets all when full.
 
     No token spans white space, and no normalisation reaches across it, so that a text's
-    ids are those of its runs one after another.
+    ids are those of its runs one after another. The tokenizer also parts letters from a
+    run of marks after them, so a word is encoded once for all marks that may follow.
     """
 
     def __init__(self, path: str | None) -> None:
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path or vocabulary_path())
 
     def learn(self, runs: set[bytes]) -> None:
         new = [r for r in runs if r not in self]
-        if len(self) + len(new) > CACHE_WORDS:
+        if len(self) + 2 * len(new) > CACHE_WORDS:
             self.clear()
             new = list(runs)
-        found = self.tokenizer.encode_batch_fast([r.decode("utf-8", "replace") for r in new], add_special_tokens=False)
-        self.update((r, np.array(e.ids, dtype="<u4").tobytes()) for r, e in zip(new, found))
+        parts, whole = {}, []
+        for run in new:
+            core = run.rstrip(MARKS)
+            if len(core) < len(run) and core.decode("utf-8", "replace").isalpha():
+                parts[run] = core, run[len(core) :]
+            else:
+                whole.append(run)
+        self._encode(whole)
+        self._encode([p for p in {p for pair in parts.values() for p in pair} if p not in self])
+        for run, (core, marks) in parts.items():
+            self[run] = self[core] + self[marks]
+
+    def _encode(self, runs: list[bytes]) -> None:
+        tokens, rest = self.tokenizer.model.tokenize, []
+        for run in runs:
+            # Normalising and splitting leave a word of small ASCII letters as it is.
+            if run.isalpha() and run.islower():
+                self[run] = array("I", [t.id for t in tokens(run.decode())]).tobytes()
+            else:
+                rest.append(run)
+        found = self.tokenizer.encode_batch_fast([r.decode("utf-8", "replace") for r in rest], add_special_tokens=False)
+        for run, e in zip(rest, found):
+            self[run] = array("I", e.ids).tobytes()
+
+
+_KEPT: dict[str | None, _Ids] = {}
+
+
+def _ids(path: str | None) -> _Ids:
+    """The cache of this Python worker, kept from task to task."""
+    if path not in _KEPT:
+        _KEPT[path] = _Ids(path)
+    return _KEPT[path]
+
+
+def _runs(raw: bytes | None) -> list[bytes]:
+    """The runs of a text, in small letters where that cannot change what the tokenizer makes of them.
+
+    Marks that combine with letters (U+0300 to U+037F start with these bytes) and special
+    tokens depend on the case.
+    """
+    if not raw:
+        return []
+    if b"\xcc" in raw or b"\xcd" in raw or b"<|" in raw:
+        return raw.split()
+    small = raw.lower()
+    if not _MARKS_TOGETHER.search(small):
+        # Stops and commas that follow a letter or digit are tokens of their own anyway.
+        small = small.replace(b", ", b" , ").replace(b". ", b" . ").replace(b".\n", b" .\n")
+    return small.split()
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -72,12 +128,12 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
     end = np.array([END], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids(path)
-        for batch in batches:
+        ids = _ids(path)
+        for batch in (b.slice(at, LEARN_ROWS) for b in batches for at in range(0, max(1, len(b)), LEARN_ROWS)):
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                runs = (text.as_py() or b"").split()
-                ids.learn(set(runs))
+            texts = [_runs(text.as_py()) for text in batch.column(1)]
+            ids.learn(set().union(*texts))
+            for doc, runs in zip(batch.column(0).to_pylist(), texts):
                 whole = b"".join(map(ids.__getitem__, runs)) + end
                 for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]

@@ -22,9 +22,11 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -33,6 +35,9 @@ from pyspark.sql import functions as F
 
 from moodline.llm.tables import staged
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TRAIN_ROWS = 12_000
 POOL_ROWS = 12_000
 ROUNDS = 3

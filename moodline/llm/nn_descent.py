@@ -21,16 +21,21 @@ rows count once; rows without ``vec_id`` take no part; further columns do not ma
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodline.llm.tables import staged
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NEIGHBOURS = 20
 DEGREE = 40
 REVERSE = 24

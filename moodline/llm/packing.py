@@ -19,25 +19,32 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodline.llm.tables import staged
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CAPACITY = 4096
 END = 1
-SALT_ROWS = 50_000
+SALT_ROWS = 2_000
 CACHE_WORDS = 1_200_000
 LEARN_ROWS = 250
 MARKS = b".,;:!?*#$%&"
 _MARKS_TOGETHER = re.compile(rb"[^a-z0-9\x20\x09-\x0d][.,][\x20\n]")
+CACHE_NAME = "moodline_token_ids"
 VOCABULARY = "word_bpe_49k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 Slots = tuple[tuple[int, int], ...]
@@ -93,14 +100,12 @@ class _Ids(dict):
             self[run] = array("I", e.ids).tobytes()
 
 
-_KEPT: dict[str | None, _Ids] = {}
-
-
 def _ids(path: str | None) -> _Ids:
-    """The cache of this Python worker, kept from task to task."""
-    if path not in _KEPT:
-        _KEPT[path] = _Ids(path)
-    return _KEPT[path]
+    """The cache of this Python worker, kept from task to task outside this module, which travels anew with each."""
+    kept = sys.modules.setdefault(CACHE_NAME, ModuleType(CACHE_NAME)).__dict__.setdefault("by_path", {})
+    if path not in kept:
+        kept[path] = _Ids(path)
+    return kept[path]
 
 
 def _runs(raw: bytes | None) -> list[bytes]:

@@ -25,20 +25,27 @@ columns do not matter. Markup is read to its end whatever is unclosed in it.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodline.llm.tables import staged
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MIN_PAGES = 5
 LOW = 0.3
 PRESENTATION = 0.1
+# Elements nested deeper are read as if they were not, as browsers do.
+DEPTH = 512
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math textarea select title object".split())
 BLOCK = frozenset(
@@ -55,8 +62,8 @@ NOISE_NAMES = frozenset(
 LANDMARKS = frozenset(("article", "main"))
 # An element's start closes these open ones, as their end tags may be left out.
 IMPLIED = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]{0,60})((?:[^>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+)>")
-_ANY = re.compile(r"<[/!?]?[^>]{0,5000}>")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]{0,60}+)((?:[^<>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+)>")
+_ANY = re.compile(r"<[/!?][^<>]*+>")
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
@@ -113,7 +120,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
         m = _TAG.match(html, start)
         if not m:
             other = _ANY.match(html, start)
-            if other and html[start + 1 : start + 2] in ("!", "?", "/"):
+            if other:
                 at = other.end()
             else:
                 if not held:
@@ -152,7 +159,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
                     yield stack.pop()
         if stack:
             stack[-1].children.append(tag)
-        if not m[3].endswith("/"):
+        if not m[3].endswith("/") and len(stack) < DEPTH:
             stack.append(Node(tag, m[3], stack[-1] if stack else None))
     yield from flush()
     yield from reversed(stack)

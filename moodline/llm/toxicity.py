@@ -19,10 +19,12 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import IsotonicRegression
@@ -31,6 +33,9 @@ from pyspark.sql import functions as F
 
 from moodline.llm.tables import staged
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TRAIN_ROWS = 24_000
 LEXICON_WORDS = 400
 MIN_TOXIC = 4

@@ -20,14 +20,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CRLF = "\r\n"
 END = CRLF + CRLF
 VERSION = "WARC/1.0"
@@ -36,9 +41,14 @@ DERIVED = (
     "page_id long, record_id string, warc_type string, refers_to string, concurrent_to string, target_uri string, date string, "
     "content_type string, content_length long, block_digest string, payload_digest string, headers string, block string"
 )
-_SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul|title|body|head|html)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[a-zA-Z!?][^>]*>?")
+_INSIDE = r"(?:[^<>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+"
+_SKIPPED = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b{_INSIDE}>.*?(?:</\1\s*+>|\Z)", re.S | re.I)
+_BREAK = re.compile(
+    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b"
+    rf"{_INSIDE}>",
+    re.I,
+)
+_TAG = re.compile(rf"</?[a-zA-Z!?]{_INSIDE}>?")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r"\s*\n\s*")
 

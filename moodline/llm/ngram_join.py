@@ -28,6 +28,7 @@ further columns do not matter. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -35,13 +36,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moodline.llm.components import components
 from moodline.llm.tables import staged
 
+# The functions of tasks travel with the job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SKETCH_BITS = 22
+FILTER_BITS = 25
 CHUNK = 1 << 16
 MAX_MATCHES = 8
 VERIFY_COST = 4.0
@@ -116,21 +122,47 @@ _FIRST = ["doc_id", "n", "sig", "chunk", "salt", "counts"]
 _FIRST_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
 
 
-def _sketch(parts: DataFrame) -> np.ndarray:
-    """The summed counts: 2^SKETCH_BITS numbers, whatever the table. Summed in two levels."""
+def _combined(parts: DataFrame, size: int, combine: np.ufunc) -> np.ndarray:
+    """Partial arrays of ``size`` numbers (``chunk, salt, counts``) as one, combined in two levels.
+
+    The size is a constant, whatever the table.
+    """
 
     def total(group: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(CHUNK, dtype=np.uint32)
         for part in group["counts"]:
-            out += np.frombuffer(zlib.decompress(part), dtype=np.uint32)
+            combine(out, np.frombuffer(zlib.decompress(part), dtype=np.uint32), out=out)
         return pd.DataFrame({"chunk": group["chunk"].iloc[:1], "counts": [zlib.compress(out.tobytes(), 1)]})
 
     schema = "chunk int, counts binary"
     halves = parts.groupBy("chunk", "salt").applyInPandas(total, schema)
-    sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+    whole = np.zeros(size, dtype=np.uint32)
     for row in halves.groupBy("chunk").applyInPandas(total, schema).collect():
-        sketch[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint32)
-    return sketch
+        whole[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint32)
+    return whole
+
+
+def _bit(ids: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.uint64) * _MIX) >> np.uint64(64 - FILTER_BITS)
+
+
+def _filter(ids: DataFrame) -> np.ndarray:
+    """2^FILTER_BITS bits in which the bits of all ids of a column are set: it lets few others pass."""
+    root = max(1, math.isqrt(ids.rdd.getNumPartitions()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for batch in batches:
+            bits[_bit(batch.column(0).to_numpy())] = True
+        salt = TaskContext.get().partitionId() % root
+        for chunk, part in enumerate(np.split(np.packbits(bits).view(np.uint32), max(1, (1 << FILTER_BITS) // 32 // CHUNK))):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([salt], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])], ["chunk", "salt", "counts"])
+
+    parts = ids.mapInArrow(run, "chunk int, salt int, counts binary")
+    return _combined(parts, (1 << FILTER_BITS) // 32, np.bitwise_or)
 
 
 def prefix(tokens: np.ndarray, counts: np.ndarray, load: float, percent: int) -> tuple[np.ndarray, int, int]:
@@ -167,22 +199,29 @@ def _prefixes(docs: DataFrame, k: int, percent: int, sketch, load: float) -> Dat
     return _texts(docs).mapInArrow(run, "doc_id long, n long, l int, tokens array<long>")
 
 
-def _sets(docs: DataFrame, k: int, percent: int, sketch, load: float) -> DataFrame:
-    """Whole sets in prefix order, with the prefix length and required matches."""
+def _wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, packed``: the compressed texts of the documents ``wanted`` names.
+
+    A filter of fixed size leaves out most others before anything is shuffled.
+    """
+    some = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = _Words(), sketch.value
+        bits, last = some.value.view(np.uint8), None
         for batch in batches:
-            ps, ls, sets = [], [], []
-            for text in batch.column(1):
-                s = shingle_set(text.as_py(), words, k)
-                ordered, p, l = prefix(s, table[s >> np.uint64(64 - SKETCH_BITS)].astype(np.int64), load, percent) if len(s) else (s, 0, 1)
-                ps.append(p)
-                ls.append(l)
-                sets.append(ordered.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ps, pa.int32()), pa.array(ls, pa.int32()), pa.array(sets, pa.binary())], ["doc_id", "p", "l", "tokens"])
+            batch = batch.filter(batch.column(0).is_valid())
+            at = _bit(batch.column(0).to_numpy()).astype(np.int64)
+            hits = np.flatnonzero(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+            ids, packed = [], []
+            for doc, text in zip(batch.column(0).take(pa.array(hits)).to_pylist(), batch.column(1).take(pa.array(hits))):
+                row = (doc, zlib.compress(text.as_py() or b"", 1))
+                if row != last:
+                    last = row
+                    ids.append(doc)
+                    packed.append(row[1])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "packed"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, p int, l int, tokens binary")
+    return _texts(docs).mapInArrow(run, "doc_id long, packed binary").join(wanted, "doc_id")
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -228,36 +267,49 @@ def block_links(ids: np.ndarray, prefixes: list[np.ndarray], matches: np.ndarray
     return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, lately = _Words(), {}
+
+        def set_of(packed: bytes) -> np.ndarray:
+            found = lately.get(packed)
+            if found is None:
+                if len(lately) >= 64:
+                    lately.clear()
+                found = lately[packed] = shingle_set(zlib.decompress(packed), words, k)
+            return found
+
         for batch in batches:
             a, b, x, y = (batch.column(i) for i in range(4))
             keep = []
             for left, right in zip(x, y):
-                s, t = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (left, right))
+                s, t = set_of(left.as_py()), set_of(right.as_py())
                 common = len(s) + len(t) - len(np.unique(np.concatenate((s, t))))
                 keep.append(100 * common >= percent * (len(s) + len(t) - common))
             chosen = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(chosen), b.filter(chosen)], ["a", "b"])
 
-    one = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a")
-    two = one.join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
+    one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("packed").alias("x")), "a")
+    two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("packed").alias("y")), "b")
     return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _hot_links(hot: DataFrame, texts: DataFrame, k: int, percent: int, sketch, load: float) -> DataFrame:
     blocks = hot.withColumn("blocks", F.ceil(F.col("m") / BLOCK))
     own = blocks.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     cells = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cells = cells.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc_id")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        sets_ = [np.frombuffer(t, dtype=np.uint64) for t in group["tokens"]]
-        prefixes = [s[:p] for s, p in zip(sets_, group["p"])]
-        found = block_links(group["doc_id"].to_numpy(), prefixes, group["l"].to_numpy(), sets_, percent)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        words, table = _Words(), sketch.value
+        found = []
+        for packed in group["packed"]:
+            s = shingle_set(zlib.decompress(packed), words, k)
+            found.append(prefix(s, table[s >> np.uint64(64 - SKETCH_BITS)].astype(np.int64), load, percent))
+        links = block_links(group["doc_id"].to_numpy(), [s[:p] for s, p, _ in found], np.array([l for _, _, l in found]), [s for s, _, _ in found], percent)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    return cells.join(sets, "doc_id").groupBy("token", "i", "j").applyInPandas(run, "a long, b long")
+    return cells.join(texts, "doc_id").groupBy("token", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -265,7 +317,7 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     spark = docs.sparkSession
     first = staged(_first_pass(docs, k), "sets")
     rows = first.where("chunk IS NULL").select("doc_id", "n", "sig")
-    table = _sketch(first.where("chunk IS NOT NULL").select("chunk", "salt", "counts"))
+    table = _combined(first.where("chunk IS NOT NULL").select("chunk", "salt", "counts"), 1 << SKETCH_BITS, np.add)
     load = float(table.sum(dtype=np.int64)) / len(table)
     sketch = spark.sparkContext.broadcast(table)
     classes = staged(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_class")), "classes")
@@ -284,10 +336,9 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     pairs = staged(met.where("shared >= need").select("a", "b"), "pairs")
     hot = live.where(F.col("m") > HOT).select("token", "m", "doc_id").distinct()
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(hot.select("doc_id")).distinct()
-    sets = _sets(docs.select("doc_id", "text").join(wanted, "doc_id"), k, percent, sketch, load).dropDuplicates(["doc_id", "tokens"])
-    sets = staged(sets, "candidate-sets")
-    links = _verified(pairs, sets.select("doc_id", "tokens"), percent).union(_hot_links(hot, sets, percent))
+    wanted = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(hot.select("doc_id")).distinct(), "wanted")
+    texts = staged(_wanted_texts(docs, wanted), "candidate-texts")
+    links = _verified(pairs, texts, k, percent).union(_hot_links(hot, texts, k, percent, sketch, load))
     named = components(links).select(F.col("node").alias("rep"), F.col("component"))
 
     labelled = classes.join(named, "rep", "left").select("sig", "n_class", F.coalesce("component", "rep").alias("component"))
@@ -305,6 +356,5 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Rows without ``doc_id`` stay, as they cannot be named; of rows that repeat a kept id one stays.
     """
-    gone = linked(docs, k, percent).where("component_id < doc_id").select(F.col("doc_id").alias("_dup")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_dup"), "left_anti")
-    return left
+    gone = linked(docs, k, percent).where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

@@ -2,7 +2,13 @@
 
 ``results`` needs ``client``, ``seq`` (arrival order within a client), the integer-valued
 ``compound_score`` in steps of 0.0001, ``compound_sentiment``, and for the timing
-columns ``processing_time`` in seconds and ``event_time``.
+columns ``processing_time`` in seconds and ``event_time``. Missing times are left out of
+means, extremes and durations everywhere.
+
+Ordered statistics look at their input more than once. So that texts are scored once,
+the columns they need are stored first; ``store=False`` is for results that are stored
+already. The latest results over all clients are those with the latest ``event_time``,
+then by client and ``seq``, as ``seq`` counts within a client only.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from pyspark.sql import functions as F
 
 from moodline.functions.labels import NEGATIVE, POSITIVE, trend_label
 from moodline.functions.report import ARROW, seconds_between, symbol
-from moodline.operators.ordered import CHUNK_ROWS, running_values
+from moodline.operators.ordered import CHUNK_ROWS, running_values, stored
 
 # Fixed values.
 BATCH_SIZE = 10
@@ -84,10 +90,11 @@ def assign_batches(
     order: Sequence[str] = ("seq",),
     size: int = BATCH_SIZE,
     chunk_rows: int = CHUNK_ROWS,
+    store: bool = True,
 ) -> DataFrame:
     """Number the results of each client by arrival and put every ``size`` of them in a batch."""
     numbered = running_values(
-        results, list(keys), list(order), {"arrival": F.lit(1).cast("bigint")}, chunk_rows=chunk_rows
+        stored(results, "results") if store else results, list(keys), list(order), {"arrival": F.lit(1).cast("bigint")}, chunk_rows=chunk_rows
     )
     return numbered.withColumn("batch_id", _batch_of(F.col("arrival"), size))
 
@@ -103,6 +110,7 @@ def summarise_batches(batched: DataFrame, keys: Sequence[str] = ("client",)) ->
         *label_counts(),
         F.sum(score_steps()).alias("_steps"),
         F.sum(time_micros()).alias("_micros"),
+        F.count("processing_time").alias("_timed"),
         seconds_between(F.min("event_time"), F.max("event_time")).alias("duration_s"),
     )
     size = F.col("batch_size")
@@ -116,7 +124,7 @@ def summarise_batches(batched: DataFrame, keys: Sequence[str] = ("client",)) ->
         "neutral_count",
         *percentages("batch_size"),
         mean.alias("mean_compound"),
-        mean_millis(F.col("_micros"), size).alias("mean_processing_ms"),
+        mean_millis(F.col("_micros"), F.col("_timed")).alias("mean_processing_ms"),
         "duration_s",
         trend_label(mean).alias("trend"),
     )
@@ -128,9 +136,11 @@ def batch_summary(
     order: Sequence[str] = ("seq",),
     size: int = BATCH_SIZE,
     chunk_rows: int = CHUNK_ROWS,
+    store: bool = True,
 ) -> DataFrame:
     """Summary of every batch of every client."""
-    return summarise_batches(assign_batches(results, keys, order, size, chunk_rows), keys)
+    narrow = results.select(*keys, *order, "compound_score", "compound_sentiment", "processing_time", "event_time")
+    return summarise_batches(assign_batches(narrow, keys, order, size, chunk_rows, store), keys)
 
 
 def full_batches(
@@ -139,9 +149,10 @@ def full_batches(
     order: Sequence[str] = ("seq",),
     size: int = BATCH_SIZE,
     chunk_rows: int = CHUNK_ROWS,
+    store: bool = True,
 ) -> DataFrame:
     """The results that belong to complete batches."""
-    batched = assign_batches(results, keys, order, size, chunk_rows)
+    batched = assign_batches(results, keys, order, size, chunk_rows, store)
     # a window over one batch holds ``size`` rows at most
     in_batch = F.count(F.lit(1)).over(Window.partitionBy(*keys, "batch_id"))
     return batched.withColumn("_in_batch", in_batch).filter(F.col("_in_batch") == size).drop("_in_batch")
@@ -154,6 +165,7 @@ def running_totals(
     size: int = BATCH_SIZE,
     history: int = TIME_HISTORY,
     chunk_rows: int = CHUNK_ROWS,
+    store: bool = True,
 ) -> DataFrame:
     """Overall counts, percentages and recent mean time at the end of every full batch.
 
@@ -164,8 +176,9 @@ def running_totals(
     if history % size:
         raise ValueError("history must be a multiple of the batch size")
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    narrow = results.select(*keys, *order, "compound_sentiment", "processing_time")
     numbered = running_values(
-        results,
+        stored(narrow, "results") if store else narrow,
         list(keys),
         list(order),
         {
@@ -174,6 +187,7 @@ def running_totals(
             "negative_count": F.when(is_label(NEGATIVE), one).otherwise(none),
             "neutral_count": F.when(is_other(), one).otherwise(none),
             "_micros": F.coalesce(time_micros(), none),
+            "_timed": F.when(F.col("processing_time").isNotNull(), one).otherwise(none),
         },
         chunk_rows=chunk_rows,
     )
@@ -185,12 +199,18 @@ def running_totals(
         "negative_count",
         "neutral_count",
         "_micros",
+        "_timed",
     )
-    # each end gives its sum to itself and takes it from the end ``history`` later
+    # each end gives its sums to itself and takes it from the end ``history`` later
     marks = F.array(
-        F.struct(F.col("batch_id").alias("at"), F.col("_micros").alias("delta"), F.lit(True).alias("own")),
         F.struct(
-            (F.col("batch_id") + history // size).alias("at"), (-F.col("_micros")).alias("delta"), F.lit(False).alias("own")
+            F.col("batch_id").alias("at"), F.col("_micros").alias("micros"), F.col("_timed").alias("timed"), F.lit(True).alias("own")
+        ),
+        F.struct(
+            (F.col("batch_id") + history // size).alias("at"),
+            (-F.col("_micros")).alias("micros"),
+            (-F.col("_timed")).alias("timed"),
+            F.lit(False).alias("own"),
         ),
     )
     counted = ["total", "positive_count", "negative_count", "neutral_count"]
@@ -199,20 +219,25 @@ def running_totals(
         .groupBy(*keys, F.col("_mark.at").alias("batch_id"))
         .agg(
             *[F.max(F.when(F.col("_mark.own"), F.col(name))).alias(name) for name in counted],
-            F.sum("_mark.delta").alias("_micros"),
+            F.sum("_mark.micros").alias("_micros"),
+            F.sum("_mark.timed").alias("_timed"),
         )
         .filter(F.col("total").isNotNull())
     )
-    recent = F.least(F.col("total"), F.lit(history))
     return merged.select(
         *keys,
         "batch_id",
         *counted,
         *percentages("total"),
-        mean_millis(F.col("_micros"), recent).alias("recent_mean_processing_ms"),
+        mean_millis(F.col("_micros"), F.col("_timed")).alias("recent_mean_processing_ms"),
     )
 
 
+def _latest_by(order: Sequence[str] | None, keys: Sequence[str]) -> list[str]:
+    """The order given, or one that is total: ``seq`` within a client, time first over several."""
+    return list(order or (("seq",) if keys else ("event_time", "client", "seq")))
+
+
 def last_n(results: DataFrame, n: int, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """The ``n`` latest results, of each key if there are keys.
 
@@ -226,9 +251,10 @@ def last_n(results: DataFrame, n: int, order: Sequence[str], keys: Sequence[str]
 
 
 def last_n_mean(
-    results: DataFrame, n: int = SCORE_HISTORY, order: Sequence[str] = ("seq",), keys: Sequence[str] = ()
+    results: DataFrame, n: int = SCORE_HISTORY, order: Sequence[str] | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Mean compound score and trend of the latest results; only where there are at least two."""
+    order = _latest_by(order, keys)
     recent = last_n(results.select(*keys, *order, "compound_score"), n, order, keys)
     sums = recent.groupBy(*keys).agg(F.count(F.lit(1)).alias("results"), F.sum(score_steps()).alias("_steps"))
     mean = mean_score(F.col("_steps"), F.col("results"))
@@ -238,9 +264,10 @@ def last_n_mean(
 
 
 def recent_trend(
-    results: DataFrame, k: int = TREND_LENGTH, order: Sequence[str] = ("seq",), keys: Sequence[str] = ()
+    results: DataFrame, k: int = TREND_LENGTH, order: Sequence[str] | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """The latest ``k`` labels from old to new, as text and as symbols; only where there are ``k``."""
+    order = _latest_by(order, keys)
     recent = last_n(results.select(*keys, *order, "compound_sentiment"), k, order, keys)
     labels = recent.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(*order, "compound_sentiment"))).alias("_rows")
@@ -253,9 +280,10 @@ def recent_trend(
 
 
 def processing_stats(
-    results: DataFrame, n: int = TIME_HISTORY, order: Sequence[str] = ("seq",), keys: Sequence[str] = ()
+    results: DataFrame, n: int = TIME_HISTORY, order: Sequence[str] | None = None, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Mean, least and greatest processing time in ms of the latest results; no row without any."""
+    order = _latest_by(order, keys)
     recent = last_n(results.select(*keys, *order, "processing_time"), n, order, keys)
     sums = recent.groupBy(*keys).agg(
         F.count("processing_time").alias("results"),

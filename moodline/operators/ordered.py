@@ -28,12 +28,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodline.session import new_shared_path
+
 CHUNK_ROWS = 250_000
 MAX_CHUNKS = 16_384
 SAMPLES_PER_CHUNK = 16
 
 _CHUNK = "_chunk"
 _UNIT = 2**53
+_ORDERED_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def stored(df: DataFrame, label: str = "rows") -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that no later job computes it again."""
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _check_types(df: DataFrame, columns: Sequence[str]) -> None:
+    """The same columns are accepted whatever the size of the table."""
+    for name in columns:
+        if not isinstance(df.schema[name].dataType, _ORDERED_TYPES):
+            raise TypeError(f"{name}: cannot order by {df.schema[name].dataType.simpleString()}")
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    """A key or order column as an integer or a string, in the same order."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.to_timestamp_ltz(F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name)
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int")
+    return F.col(name)
 
 
 def _sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -50,7 +81,9 @@ def _cut_points(df: DataFrame, columns: Sequence[str], total: int, chunks: int)
     """Every sixteenth point of a hashed sample, in order: bounded by the number of chunks."""
     rate = min(1.0, chunks * SAMPLES_PER_CHUNK / total)
     unit = F.xxhash64(*columns).bitwiseAND(F.lit(_UNIT - 1)) / F.lit(float(_UNIT))
-    sample = df.select(*columns).filter(unit < F.lit(rate)).distinct().orderBy(*columns).collect()
+    values = [_comparable(df, c).alias(f"c{i}") for i, c in enumerate(columns)]
+    sampled = df.filter(unit < F.lit(rate)).select(*values).distinct()
+    sample = sampled.orderBy(*sampled.columns).collect()
     return [tuple(row) for row in sample[SAMPLES_PER_CHUNK - 1 :: SAMPLES_PER_CHUNK]]
 
 
@@ -60,9 +93,10 @@ def _chunk_of(df: DataFrame, columns: Sequence[str], cuts: Sequence[tuple]) -> D
     The step of size ``s`` is taken from a position that is a multiple of ``2 s``,
     so it only ever looks at every ``2 s``-th cut point, and gets just those.
     """
-    fields = [T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(columns)]
+    values = [_comparable(df, c).alias(f"c{i}") for i, c in enumerate(columns)]
+    fields = df.select(*values).schema.fields
     points = T.ArrayType(T.StructType(fields))
-    here = F.struct(*[F.col(c).alias(f.name) for c, f in zip(columns, fields)])
+    here = F.struct(*values)
     placed = df.withColumn(_CHUNK, F.lit(0))
     step = 1 << max(0, len(cuts).bit_length() - 1)
     while step >= 1 and cuts:
@@ -86,13 +120,14 @@ def running_values(
 ) -> DataFrame:
     """Add inclusive running sums and running maxima per key.
 
-    ``order`` must be unique within a key; keys and order are of integer or string
-    type. Sums are of integers. Counting the keys runs a job at once. With a hot key
-    ``df`` is read three times more, twice only for its keys, order and summed
-    columns: store it first when those are costly to compute.
+    ``order`` must be unique within a key; keys and order are integers, strings,
+    booleans, dates or timestamps. Sums are of integers. Counting the keys runs a job at
+    once. With a hot key ``df`` is read three times more, twice only for its keys, order
+    and summed columns: ``stored`` it first when those are costly to compute.
     """
     maxima = dict(maxima or {})
     columns = [*keys, *order]
+    _check_types(df, columns)
     folds = {name: (F.sum, value) for name, value in sums.items()}
     folds.update({name: (F.max, value) for name, value in maxima.items()})
     others = [c for c in df.columns if c not in folds]

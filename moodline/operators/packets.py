@@ -17,6 +17,7 @@ from moodline.schemas import METRICS, PACKET
 
 _DECODE_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 _CONTROL_KEY = "type"
+UNKNOWN = "unknown"
 
 
 def build_packets(
@@ -137,9 +138,14 @@ def drop_control(parsed: DataFrame) -> DataFrame:
 
 
 def with_arrival(packets: DataFrame) -> DataFrame:
-    """Fill ``client`` and ``seq`` from the server's own counters where a packet lacks them."""
-    return packets.withColumn("client", F.coalesce("client", F.col("server_info.client_ip"))).withColumn(
-        "seq", F.coalesce("seq", F.col("server_info.total_tweets_sent"))
+    """Fill ``client`` and ``seq`` where a packet lacks them, so that both are always known.
+
+    The client is the server's address for it, else UNKNOWN. The place is the server's
+    counter, else the packet's time in microseconds, else 0: such packets come first.
+    """
+    sent_at = F.unix_micros(F.try_to_timestamp("stream_timestamp"))
+    return packets.withColumn("client", F.coalesce("client", F.col("server_info.client_ip"), F.lit(UNKNOWN))).withColumn(
+        "seq", F.coalesce("seq", F.col("server_info.total_tweets_sent"), sent_at, F.lit(0))
     )
 
 

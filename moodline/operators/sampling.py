@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,22 +34,21 @@ def draw_with_replacement(
 ) -> DataFrame:
     """``n`` uniform draws of messages for every row of ``sessions``.
 
-    Adds ``draw`` (from 1) and ``stream_id``. Draws and messages meet on the message's
-    number, which the hash spreads evenly; Spark broadcasts the messages only where
-    their size allows it. Without messages there are no draws.
+    Adds ``draw`` (from 1) and ``stream_id``. Only the order columns, which must be unique
+    and known, are numbered; a draw meets a number, which the hash spreads evenly, and its
+    message by the order columns after. Without messages there are no draws.
     """
     total = messages.agg(F.count(F.lit(1)).alias("n")).scalar()
-    # a session is a short row that becomes ``n`` whole messages: keep all partitions
-    partitions = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draws = (
-        sessions.repartition(partitions, session)
-        .select(session, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
+        sessions.select(session, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
         .withColumn("_idx", F.pmod(hashed(F.lit(seed), F.col(session), F.col("draw")), F.nullif(total, F.lit(0))))
         .withColumn("stream_id", stream_id(seed, F.col(session), F.col("draw")))
     )
-    # the same partitioning serves a shuffled join; it spreads a table numbered in one chunk
-    indexed = with_index(messages, order, "_idx", chunk_rows).repartition(partitions, "_idx")
-    return draws.join(indexed, "_idx").drop("_idx")
+    named = {c: f"_order_{i}" for i, c in enumerate(order)}
+    numbers = with_index(messages.select(*order), order, "_idx", chunk_rows).withColumnsRenamed(named)
+    placed = draws.join(numbers, "_idx").drop("_idx")
+    same = reduce(and_, [messages[c] == F.col(alias) for c, alias in named.items()])
+    return placed.join(messages, same).drop(*named.values())
 
 
 def stream_id(seed: int, session: Column, draw: Column) -> Column:

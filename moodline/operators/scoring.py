@@ -44,7 +44,8 @@ class Words(NamedTuple):
     dampers: Sequence[str]
 
 
-# Word lists written for this library.
+# Word lists, written down from memory; many entries follow the booster and
+# negation lists published with VADER (see ``lexicon.py``).
 NEGATORS = (
     "no not never none nobody nothing neither nor nowhere without cannot can't don't doesn't didn't "
     "isn't aren't wasn't weren't won't wouldn't shouldn't couldn't hasn't haven't hadn't ain't hardly rarely"

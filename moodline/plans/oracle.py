@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from moodline.operators import scoring
 from moodline.plans import adapters
 from moodline.plans.queries import CAP_OF_TEST, RATE_WINDOW_OF_TEST_S, SAMPLE_SEED
 
 _TIME = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
-def _in(words: list[str]) -> str:
-    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
-
 
 # -- messages -------------------------------------------------------------------
 
@@ -22,6 +18,9 @@ messages AS (
          TIMESTAMP '2025-01-01' + doc_id * INTERVAL 1 SECOND AS event_time,
          source AS author_id, lang, source AS client, doc_id AS seq, n_chars,
          CASE WHEN doc_id % 25 <> 7 THEN doc_id % 97 END AS like_count,
+         CASE WHEN doc_id % 25 <> 7 THEN doc_id % 7 END AS bookmark_count,
+         CASE WHEN doc_id % 25 <> 7 THEN doc_id % 11 END AS reply_count,
+         CASE WHEN doc_id % 25 <> 7 THEN doc_id % 3 END AS quote_count,
          CASE WHEN doc_id % 25 <> 7 THEN n_chars % 13 END AS retweet_count,
          CASE WHEN doc_id % 25 <> 7 THEN n_chars % 1009 END AS impression_count
   FROM documents)"""
@@ -36,36 +35,35 @@ _LEXICON = "lexicon AS (SELECT * FROM (VALUES " + ", ".join(
 ) + ") t(token, valence, polarity, subjectivity))"
 
 
-def _scores(level: int = scoring.PLAIN) -> str:
+def _scores(level: int = 0) -> str:
     """CTEs from ``texts`` to ``scores``, with window functions over the tokens."""
-    words = adapters.WORDS
     reach = range(1, 4)
     plain = "CAST(valence AS BIGINT) * 10000000"
     value = plain
-    if level >= scoring.EMPHASIS:
+    if level >= 3:
         value = (
             f"({value} + CASE WHEN loud_count > 0 AND loud_count < n AND loud "
-            f"THEN sign({plain}) * {scoring.CAPITALS} ELSE 0 END)"
+            f"THEN sign({plain}) * 73300000 ELSE 0 END)"
         )
-    if level >= scoring.BOOSTERS:
+    if level >= 2:
         for d in reach:
-            step = scoring.BOOST * scoring.BOOST_PERCENT[d] // 100
+            step = {1: 29300000, 2: 27835000, 3: 26370000}[d]
             value = (
-                f"({value} + sign({plain}) * CASE WHEN before{d} IN {_in(words.raisers)} THEN {step} "
-                f"WHEN before{d} IN {_in(words.dampers)} THEN -{step} ELSE 0 END)"
+                f"({value} + sign({plain}) * CASE WHEN before{d} IN ('the') THEN {step} "
+                f"WHEN before{d} IN ('and') THEN -{step} ELSE 0 END)"
             )
-    if level >= scoring.NEGATION:
-        negated = " OR ".join(f"coalesce(before{d} IN {_in(words.negators)}, false)" for d in reach)
-        value = f"({value} * CASE WHEN {negated} THEN {scoring.NEGATION_PERCENT} ELSE 100 END // 100)"
-    if level >= scoring.EMPHASIS:
+    if level >= 1:
+        negated = " OR ".join(f"coalesce(before{d} IN ('no'), false)" for d in reach)
+        value = f"({value} * CASE WHEN {negated} THEN -74 ELSE 100 END // 100)"
+    if level >= 3:
         value = (
-            f"({value} * CASE WHEN pos < but THEN {scoring.BEFORE_BUT_PERCENT} "
-            f"WHEN pos > but THEN {scoring.AFTER_BUT_PERCENT} ELSE 100 END // 100)"
+            f"({value} * CASE WHEN pos < but THEN 50 "
+            f"WHEN pos > but THEN 150 ELSE 100 END // 100)"
         )
     marks = "0"
-    if level >= scoring.EMPHASIS:
+    if level >= 3:
         marks = (
-            f"least(length(text) - length(replace(text, '!', '')), {scoring.MAX_EXCLAMATIONS}) * {scoring.EXCLAMATION}"
+            f"least(length(text) - length(replace(text, '!', '')), 4) * 29200000"
         )
     before = ", ".join(f"lag(token, {d}) OVER w AS before{d}" for d in reach)
     return f"""
@@ -273,7 +271,7 @@ draws AS (
          CAST({_hash(f"'{SAMPLE_SEED}'", "'stream'", 'drawn_for', 'draw')} % 90000 + 10000 AS INTEGER) AS stream_id
   FROM clients, range(1, 51) r(draw))"""
 
-_METRICS = "like_count, retweet_count, impression_count"
+_METRICS = "like_count, bookmark_count, reply_count, quote_count, retweet_count, impression_count"
 
 ORACLE_SQL: dict[str, str] = {
     "read_messages": f"""WITH {_MESSAGES}
@@ -316,10 +314,10 @@ SELECT seq AS doc_id, chosen AS text, text AS original_text, created AS timestam
     "tokens": f"""WITH {_CLEAN}, lists AS (SELECT id, regexp_extract_all(text, '[A-Za-z'']+') AS list FROM clean)
 SELECT id, pos, lower(token) AS token
 FROM (SELECT id, unnest(list) AS token, unnest(range(len(list))) AS pos FROM lists)""",
-    "score_documents": _score_query(scoring.PLAIN),
-    "score_negation": _score_query(scoring.NEGATION),
-    "score_boosters": _score_query(scoring.BOOSTERS),
-    "score_emphasis": _score_query(scoring.EMPHASIS),
+    "score_documents": _score_query(0),
+    "score_negation": _score_query(1),
+    "score_boosters": _score_query(2),
+    "score_emphasis": _score_query(3),
     "label_boundaries": f"""
 SELECT doc_id, {_compound_label('x')} AS compound_sentiment, {_strict_label('x')} AS polarity_sentiment,
        {_strict_label('x', 'balanced')} AS trend
@@ -438,3 +436,17 @@ SELECT total_sent, total_connections, active_connections, errors,
        CASE WHEN active_connections > 0 THEN 'STREAMING' ELSE 'WAITING' END AS status
 FROM totals""",
 }
+
+# The same rows by another way through the library.
+_SAME = {
+    "score_documents_joined": "score_documents",
+    "running_totals_chunked": "running_totals",
+    "active_connections_chunked": "active_connections",
+    "final_sentiment_interleaved": "final_sentiment",
+    "recent_trend_interleaved": "recent_trend",
+    "results_json": "received_results",
+    "results_csv": "received_results",
+    "received_from_files": "received_results",
+    "full_batches_file": "full_batches",
+}
+ORACLE_SQL.update({name: ORACLE_SQL[twin] for name, twin in _SAME.items()})

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodline.functions import report
 from moodline.functions.labels import label_compound, label_polarity, trend_label
 from moodline.functions.text import clip
-from moodline.operators import batches, delivery, messages, packets, sampling, scoring
+from moodline.operators import batches, delivery, lexicon, messages, packets, sampling, scoring
 from moodline.plans import adapters, flows
+from moodline.schemas import METRICS
 from moodline.session import new_shared_path
 from moodline.sources import files
 from moodline.streaming import feed, monitor, progress
@@ -20,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _ALL_FILES = 1_000_000
 SAMPLE_SEED = 7
+# Small enough that the tables are cut into several chunks.
+SMALL_CHUNK = 50
 CAP_OF_TEST = 2
 RATE_WINDOW_OF_TEST_S = 3600
 
@@ -29,7 +33,7 @@ def _time(column: str) -> Column:
 
 
 def _flat_metrics() -> list[Column]:
-    return [F.col(f"public_metrics.{n}").alias(n) for n in ("like_count", "retweet_count", "impression_count")]
+    return [F.col(f"public_metrics.{n}").alias(n) for n in METRICS.names]
 
 
 # -- messages -----------------------------------------------------------------
@@ -133,10 +137,10 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.tokenize(adapters.clean(spark, sf_dir)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
-def _scores(level: int) -> Query:
+def _scores(level: int, words: Callable[[SparkSession], DataFrame] = adapters.lexicon) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = adapters.messages(spark, sf_dir).select("id", "text")
-        scored = scoring.score_messages(source, adapters.lexicon(spark), "text", level, adapters.WORDS)
+        scored = scoring.score_messages(source, words(spark), "text", level, adapters.WORDS)
         return scored.select(
             "id", "compound", "positive", "negative", "neutral", "polarity", "subjectivity",
             label_compound(F.col("compound")).alias("compound_sentiment"),
@@ -146,6 +150,15 @@ def _scores(level: int) -> Query:
     return query
 
 
+def score_documents_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores with a lexicon too large for the plan, most of whose tokens no text has."""
+    more = spark.range(lexicon.MAX_INDEX_ROWS + 1).select(
+        F.concat(F.lit("zz"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("token"),
+        F.lit(10).alias("valence_tenths"), F.lit(100).alias("polarity_thousandths"), F.lit(100).alias("subjectivity_thousandths"),
+    )
+    return _scores(scoring.PLAIN, lambda s: adapters.lexicon(s).unionByName(more))(spark, sf_dir)
+
+
 def label_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.col("doc_id") % 401 - 200) / F.lit(2000.0)
     return adapters.table(spark, sf_dir, "documents").select(
@@ -185,6 +198,56 @@ def final_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.last_n_mean(adapters.results(spark, sf_dir))
 
 
+def _interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results whose ``seq`` starts at 1 in every client, as the flows number them."""
+    within = Window.partitionBy("client").orderBy("seq")
+    return adapters.results(spark, sf_dir).withColumn("seq", F.row_number().over(within).cast("bigint")).repartition(5)
+
+
+def final_sentiment_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.last_n_mean(_interleaved(spark, sf_dir))
+
+
+def recent_trend_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.recent_trend(_interleaved(spark, sf_dir))
+
+
+def running_totals_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.running_totals(adapters.results(spark, sf_dir), chunk_rows=SMALL_CHUNK)
+
+
+def results_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results of the flow, stored as JSON lines and read back."""
+    path = new_shared_path(spark, "results-json")
+    results = _score_lines(spark, adapters.lines(spark, sf_dir))
+    files.write_results_json(results, path)
+    return _result_columns(spark.read.schema(results.schema).json(path))
+
+
+def results_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results of the flow, stored as CSV and read back."""
+    path = new_shared_path(spark, "results-csv")
+    results = _score_lines(spark, adapters.lines(spark, sf_dir))
+    files.write_results_csv(results, path)
+    return _result_columns(files.read_results_csv(spark, path, results.schema))
+
+
+def full_batches_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete batches, stored as JSON lines and read back."""
+    path = new_shared_path(spark, "full-batches")
+    results = adapters.results(spark, sf_dir)
+    files.write_full_batches(results, path)
+    schema = results.schema.add("batch_id", T.LongType())
+    return spark.read.schema(schema).json(path).select("client", "batch_id", "seq", "compound_score", "compound_sentiment")
+
+
+def received_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire lines stored as text and read back, then received and scored."""
+    path = new_shared_path(spark, "wire")
+    files.write_packets(adapters.lines(spark, sf_dir), path)
+    return _result_columns(_score_lines(spark, files.read_packets(spark, path)))
+
+
 def final_sentiment_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.last_n_mean(adapters.results(spark, sf_dir), n=20, keys=["client"])
 
@@ -201,6 +264,7 @@ def _event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapters.table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("client"),
         F.col("event_id").alias("seq"),
+        F.col("ts").alias("event_time"),
         (F.col("value") / 1000).alias("processing_time"),
     )
 
@@ -241,6 +305,11 @@ def active_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.active_connections(adapters.log(spark, sf_dir)).select("seq", "action", "active")
 
 
+def active_connections_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = delivery.active_connections(adapters.log(spark, sf_dir), chunk_rows=SMALL_CHUNK)
+    return counted.select("seq", "action", "active")
+
+
 def packet_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.packet_counters(adapters.log(spark, sf_dir)).select("seq", "total_sent_before", "active_clients")
 
@@ -351,7 +420,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _score_lines(spark, _line_stream(spark, sf_dir))
-    timed = results.withColumn("event_time", F.to_timestamp("timestamp"))
+    timed = results.withColumn("event_time", F.try_to_timestamp("timestamp"))
     return _run(spark, progress.batch_progress(timed, idle_minutes=None), "batches")
 
 
@@ -388,13 +457,21 @@ QUERIES: dict[str, Query] = {
     "score_negation": _scores(scoring.NEGATION),
     "score_boosters": _scores(scoring.BOOSTERS),
     "score_emphasis": _scores(scoring.EMPHASIS),
+    "score_documents_joined": score_documents_joined,
     "label_boundaries": label_boundaries,
     "sentiment_totals": sentiment_totals,
     "assign_batches": assign_batches,
     "batch_summary": batch_summary,
     "full_batches": full_batches,
     "running_totals": running_totals,
+    "running_totals_chunked": running_totals_chunked,
     "final_sentiment": final_sentiment,
+    "final_sentiment_interleaved": final_sentiment_interleaved,
+    "recent_trend_interleaved": recent_trend_interleaved,
+    "results_json": results_json,
+    "results_csv": results_csv,
+    "full_batches_file": full_batches_file,
+    "received_from_files": received_from_files,
     "final_sentiment_by_client": final_sentiment_by_client,
     "recent_trend": recent_trend,
     "recent_trend_by_client": recent_trend_by_client,
@@ -403,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "report_lines": report_lines,
     "log_totals": log_totals,
     "active_connections": active_connections,
+    "active_connections_chunked": active_connections_chunked,
     "packet_counters": packet_counters,
     "trailing_rate": trailing_rate,
     "trailing_rate_hour": trailing_rate_hour,

@@ -1,16 +1,19 @@
 """Continuous receiving and scoring of packets.
 
-Decoding and scoring are row-wise, so the batch functions run on the stream as they
-are, without state.
+Decoding is row-wise. Scoring runs within each micro-batch, as a batch: so a lexicon of
+any size works, and the processing time of a row is its share of the micro-batch's.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from moodline.operators.ordered import stored
 from moodline.operators.packets import receive, rejected_lines, result_rows
 from moodline.operators.scoring import DEFAULT_WORDS, EMPHASIS, Words, score_messages
 
@@ -71,9 +74,21 @@ def start_scoring(
     processed_at: Column | None = None,
     processing_time: Column | None = None,
 ) -> StreamingQuery:
-    """Score a packet stream and store all its results."""
-    results = score_lines(lines, lexicon, level, words, processed_at, processing_time)
-    return write_by_epoch(results, path, checkpoint, every)
+    """Score a packet stream and store all its results.
+
+    Without ``processing_time`` a row gets the time its micro-batch took to score,
+    divided by the number of rows.
+    """
+
+    def score(batch: DataFrame) -> DataFrame:
+        if processing_time is not None:
+            return score_lines(batch, lexicon, level, words, processed_at, processing_time)
+        began = time.monotonic()
+        results = stored(score_lines(batch, lexicon, level, words, processed_at), "scored")
+        each = (time.monotonic() - began) / max(1, results.count())
+        return results.withColumn("processing_time", F.lit(each))
+
+    return write_by_epoch(lines, path, checkpoint, every, transform=score)
 
 
 def start_rejects(lines: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -37,13 +37,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _COUNTS = ["positive_count", "negative_count", "neutral_count"]
 _SIGNS = [1, -1, 0]
+# Stands for a missing time among the integers that a task handles.
+_MISSING = -(2**63)
 
 _OUTPUT = (
     "client string, batch_id bigint, batch_size bigint, total bigint, "
     "positive_count bigint, negative_count bigint, neutral_count bigint, "
     "positive_total bigint, negative_total bigint, neutral_total bigint, "
-    "steps bigint, micros bigint, first_micros bigint, last_micros bigint, "
-    "recent_results bigint, recent_steps bigint, recent_times bigint, recent_micros bigint, signs array<int>"
+    "steps bigint, micros bigint, timed bigint, first_micros bigint, last_micros bigint, "
+    "recent_results bigint, recent_steps bigint, recent_timed bigint, recent_micros bigint, signs array<int>"
 )
 # The four columns of every result kept: score steps, sign of its label, time, event time.
 _STATE = "total bigint, positive bigint, negative bigint, neutral bigint, kept binary"
@@ -80,14 +82,18 @@ def _batches(client: str, kept: np.ndarray, fresh: np.ndarray, totals: np.ndarra
         out[name] = _ends(of_label, at, sizes)
         out[name.replace("count", "total")] = total + np.concatenate([[0], np.cumsum(of_label[len(kept):])])[later]
     out["steps"] = _ends(steps, at, sizes)
-    out["micros"] = _ends(micros, at, sizes)
+    known = micros != _MISSING
+    spent, timed = np.where(known, micros, 0), known.astype(np.int64)
+    out["micros"] = _ends(spent, at, sizes)
+    out["timed"] = _ends(timed, at, sizes)
     spans = [event[a - n : a] for a, n in zip(at, sizes)]
-    out["first_micros"] = [int(span.min()) for span in spans]
-    out["last_micros"] = [int(span.max()) for span in spans]
+    spans = [span[span != _MISSING] for span in spans]
+    out["first_micros"] = pd.array([int(span.min()) if len(span) else None for span in spans], dtype="Int64")
+    out["last_micros"] = pd.array([int(span.max()) if len(span) else None for span in spans], dtype="Int64")
     out["recent_results"] = np.minimum(ends, SCORE_HISTORY)
     out["recent_steps"] = _ends(steps, at, np.minimum(ends, SCORE_HISTORY))
-    out["recent_times"] = np.minimum(ends, TIME_HISTORY)
-    out["recent_micros"] = _ends(micros, at, np.minimum(ends, TIME_HISTORY))
+    out["recent_timed"] = _ends(timed, at, np.minimum(ends, TIME_HISTORY))
+    out["recent_micros"] = _ends(spent, at, np.minimum(ends, TIME_HISTORY))
     out["signs"] = [sign[max(a - TREND_LENGTH, 0) : a].astype(int).tolist() for a in at]
     return pd.DataFrame(out)
 
@@ -117,6 +123,9 @@ def _advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState, idle
 def batch_progress(results: DataFrame, idle_minutes: float | None = 10) -> DataFrame:
     """Stream of batch summaries with the client's totals and recent history at that point.
 
+    Missing times are left out, as ``batches`` does. ``client`` and ``seq`` must be known;
+    ``packets.with_arrival`` fills them.
+
     A client that stays silent for ``idle_minutes`` has ended: its open batch is
     summarised and its state removed. A query that takes what there is and stops needs
     None here, as waiting for silence would keep it running; summarise open batches
@@ -125,11 +134,11 @@ def batch_progress(results: DataFrame, idle_minutes: float | None = 10) -> DataF
     sign = F.when(is_label(POSITIVE), 1).when(is_label(NEGATIVE), -1).otherwise(0)
     rows = results.select(
         "client",
-        "seq",
+        F.coalesce("seq", F.lit(0).cast("bigint")).alias("seq"),
         score_steps().alias("steps"),
         sign.cast("bigint").alias("sign"),
-        F.coalesce(time_micros(), F.lit(0).cast("bigint")).alias("micros"),
-        F.coalesce(F.unix_micros("event_time"), F.lit(0).cast("bigint")).alias("event_micros"),
+        F.coalesce(time_micros(), F.lit(_MISSING)).alias("micros"),
+        F.coalesce(F.unix_micros("event_time"), F.lit(_MISSING)).alias("event_micros"),
     )
     idle_ms = None if idle_minutes is None else int(idle_minutes * 60_000)
     timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
@@ -151,14 +160,14 @@ def batch_progress(results: DataFrame, idle_minutes: float | None = 10) -> DataF
         *_COUNTS,
         *percentages("batch_size"),
         mean.alias("mean_compound"),
-        mean_millis(F.col("micros"), F.col("batch_size")).alias("mean_processing_ms"),
+        mean_millis(F.col("micros"), F.col("timed")).alias("mean_processing_ms"),
         ((F.col("last_micros") - F.col("first_micros")) / F.lit(1e6)).alias("duration_s"),
         trend_label(mean).alias("trend"),
         "total",
         "positive_total",
         "negative_total",
         "neutral_total",
-        mean_millis(F.col("recent_micros"), F.col("recent_times")).alias("recent_mean_processing_ms"),
+        mean_millis(F.col("recent_micros"), F.col("recent_timed")).alias("recent_mean_processing_ms"),
         recent.alias("recent_mean_compound"),
         F.when(shown, F.array_join(F.transform("signs", lambda s: symbol(label(s))), ARROW)).alias("recent_symbols"),
     )

@@ -85,3 +85,15 @@ def test_empty_input(skewed):
     nothing = skewed.filter("false")
     assert ordered.running_values(nothing, ["key"], ["seq"], {"n": one()}).count() == 0
     assert ordered.with_index(nothing, ["seq"]).count() == 0
+
+
+def test_times_order_in_chunks_as_in_windows(spark):
+    rows = [(i, f"2025-01-01 00:{i % 60:02d}:{i // 60:02d}.{i % 7}") for i in range(400)]
+    base = spark.createDataFrame(rows, "i int, t string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = base.select("i", F.col("t").cast(kind).alias("t"))
+        plain, cut = (ordered.running_values(df, [], ["t", "i"], {"s": F.col("i").cast("bigint")}, chunk_rows=n) for n in (1000, 50))
+        assert sorted(map(repr, plain.collect())) == sorted(map(repr, cut.select(plain.columns).collect()))
+    for n in (1000, 50):
+        with pytest.raises(TypeError, match="double"):
+            ordered.running_values(base.select(F.col("i").cast("double").alias("d")), [], ["d"], {"s": F.lit(1)}, chunk_rows=n)

@@ -125,3 +125,22 @@ def test_control_messages(spark):
         lines(spark, '{"type":"welcome","message":"hi","total_tweets_available":49}', '{"type":"welcome","message":"x"}')
     )
     assert [tuple(r)[1:] for r in got.orderBy("n").collect()] == [("welcome", "hi", "49"), ("welcome", "x", "unknown")]
+
+
+def test_strip_is_linear(spark):
+    import time
+
+    from moodline.functions.text import strip
+
+    long = "a" + " " * 1_000_000 + "b"
+    df = spark.createDataFrame([(long,), ("\u3000\x1c\tx \u2003y\x85\xa0",), (None,), (" \n",)], "v string").select(strip(F.col("v")).alias("v"))
+    df.collect()
+    began = time.monotonic()
+    assert [r.v for r in df.collect()] == [long, "x \u2003y", None, ""]
+    assert time.monotonic() - began < 2
+
+
+def test_missing_client_and_place_are_filled(spark):
+    lines = ['{"text":"hi"}', '{"text":"hi","stream_timestamp":"1970-01-01T00:00:01"}', '{"text":"hi","seq":5,"client":"c"}']
+    got = packets.receive(spark.createDataFrame([(v,) for v in lines], "value string")).select("client", "seq").collect()
+    assert sorted((r.client, r.seq) for r in got) == [("c", 5), ("unknown", 0), ("unknown", 1_000_000)]

@@ -35,11 +35,20 @@ def test_filters_and_columns_reach_the_scan(spark, small_dir):
     assert "n_chars" not in plan
 
 
-def test_statistics_shuffle_once_and_without_texts(spark, small_dir):
-    plan = plan_of(batches.batch_summary(adapters.results(spark, small_dir)))
-    assert plan.count("Exchange") == 1
-    shuffled = plan[plan.index("Exchange") :].split("\n")[1]
-    assert "compound_score" in shuffled and "text#" not in shuffled.split("AS compound_score")[0].replace("isnull(text#", "")
+@pytest.mark.parametrize("statistic", [batches.batch_summary, batches.running_totals, batches.full_batches, batches.assign_batches])
+def test_texts_are_scored_once(spark, small_dir, statistic):
+    """Ordered statistics read stored scores: their own plan holds no tokens and no lookup."""
+    plan = plan_of(statistic(adapters.results(spark, small_dir)))
+    assert "regexp_extract_all" not in plan and "from_json" not in plan
+    if statistic is batches.batch_summary:
+        assert plan.count("Exchange") == 1 and "text#" not in plan
+
+
+def test_draws_number_narrow_rows(spark, small_dir):
+    drawn = sampling.draw_with_replacement(adapters.clean(spark, small_dir).drop("client"), adapters.sessions(spark, small_dir), 5, order=["seq"])
+    plan = plan_of(drawn)
+    gathered = [part.split("\n")[1] for part in plan.split("Exchange SinglePartition")[1:]]
+    assert any("Project" in line for line in gathered) and not any("text" in line for line in gathered)
 
 
 def test_no_query_builds_pairs(spark, small_dir):

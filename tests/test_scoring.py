@@ -141,3 +141,11 @@ def test_lexicon_from_csv(spark, tmp_path):
     )
     table = lexicons.read_lexicon(spark, str(tmp_path))
     assert [tuple(r) for r in table.collect()] == [("fine", 8, 417, 500)]
+
+
+@pytest.mark.parametrize("limit", [50_000, 1])
+def test_a_repeated_token_is_an_error_at_any_size(spark, monkeypatch, limit):
+    monkeypatch.setattr(lexicons, "MAX_INDEX_ROWS", limit)
+    twice = lexicons.lexicon_from_rows(spark, [("good", 1, 1, 1), ("bad", 1, 1, 1), ("good", 2, 2, 2)])
+    with pytest.raises(ValueError, match="good"):
+        scoring.score_messages(spark.createDataFrame([("a",)], "text string"), twice, "text")

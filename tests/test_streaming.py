@@ -176,3 +176,39 @@ def test_live_counters(spark, tmp_path):
     assert rates[5] == 2 and rates[60] == 2 and rates[65] == 2 and rates[120] == 2
     at_sends = {r.seq: r.sends for r in delivery.trailing_rate(log).collect()}
     assert at_sends[2] == rates[5]
+
+
+def test_missing_values_are_the_same_in_stream_and_batch(spark, words, tmp_path):
+    def spoiled(i):
+        fields = json.loads(packet(i))
+        if i % 4 == 0:
+            del fields["stream_timestamp"]
+        if i % 35 == 3:
+            fields["stream_timestamp"] = "never"
+        return json.dumps(fields)
+
+    def timed(df):
+        out = feed.score_lines(df, words, processed_at=F.lit("T"), processing_time=F.when(F.col("seq") % 3 != 0, F.col("seq") / 1000))
+        return out.withColumn("event_time", F.try_to_timestamp("timestamp"))
+
+    drop_files(tmp_path / "in", [spoiled(i) for i in range(230)], 3)
+    stream = files.stream_packets(spark, str(tmp_path / "in"), max_files=1)
+    run(progress.batch_progress(timed(stream), idle_minutes=None), tmp_path / "out", tmp_path / "cp")
+    got = spark.read.parquet(str(tmp_path / "out"))
+    results = timed(files.read_packets(spark, str(tmp_path / "in"))).cache()
+    assert summary_columns(got) == summary_columns(batches.batch_summary(results).filter("batch_size = 10"))
+    ends = batches.running_totals(results).select("client", "batch_id", "recent_mean_processing_ms")
+    assert rows(got.select(ends.columns)) == rows(ends)
+    none = results.withColumn("processing_time", F.lit(None).cast("double")).withColumn("event_time", F.lit(None).cast("timestamp"))
+    assert batches.batch_summary(none).filter("mean_processing_ms IS NOT NULL OR duration_s IS NOT NULL").count() == 0
+
+
+def test_a_large_lexicon_scores_a_stream(spark, words, tmp_path, monkeypatch):
+    drop_files(tmp_path / "in", lines(40), 2)
+    want = rows(feed.score_lines(files.read_packets(spark, str(tmp_path / "in")), words, processed_at=F.lit("T")).drop("processing_time"))
+    monkeypatch.setattr(lexicon, "MAX_INDEX_ROWS", 1)
+    stream = files.stream_packets(spark, str(tmp_path / "in"), max_files=1)
+    feed.start_scoring(stream, words, str(tmp_path / "out"), str(tmp_path / "cp"), processed_at=F.lit("T")).awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "out")).drop("epoch")
+    assert rows(got.drop("processing_time")) == want
+    assert got.filter("processing_time > 0").count() == 40

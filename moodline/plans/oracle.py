@@ -437,6 +437,11 @@ SELECT total_sent, total_connections, active_connections, errors,
 FROM totals""",
 }
 
+ORACLE_SQL["stream_full_batches"] = f"""WITH {_RECEIVED_RESULTS}, {_BATCHED}
+SELECT client, batch_id, seq, compound_score, compound_sentiment
+FROM (SELECT *, count(*) OVER (PARTITION BY client, batch_id) AS n FROM batched) WHERE n = 10"""
+ORACLE_SQL["stream_all_batches"] = f"WITH {_RECEIVED_RESULTS}, {_SUMMARY} SELECT * FROM summary"
+
 # The same rows by another way through the library.
 _SAME = {
     "score_documents_joined": "score_documents",

@@ -17,6 +17,7 @@ from moodline.schemas import METRICS
 from moodline.session import new_shared_path
 from moodline.sources import files
 from moodline.streaming import feed, monitor, progress
+from moodline.streaming import full_batches as full_batches_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -424,14 +425,37 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, progress.batch_progress(timed, idle_minutes=None), "batches")
 
 
+def _stream_full(spark: SparkSession, sf_dir: str) -> str:
+    results = _score_lines(spark, _line_stream(spark, sf_dir))
+    timed = results.withColumn("event_time", F.try_to_timestamp("timestamp"))
+    out = new_shared_path(spark, "full-batches")
+    full_batches_stream.start_full_batches(timed, out, new_shared_path(spark, "checkpoint")).awaitTermination()
+    return out
+
+
+def stream_full_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = full_batches_stream.read_full_batches(spark, _stream_full(spark, sf_dir))
+    return rows.select("client", "batch_id", "seq", "compound_score", "compound_sentiment")
+
+
+def stream_all_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of all batches of a stream, the short last ones included."""
+    rows = full_batches_stream.read_all_batches(spark, _stream_full(spark, sf_dir))
+    return batches.summarise_batches(rows)
+
+
 def stream_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _score_lines(spark, _line_stream(spark, sf_dir))
     return _run_complete(spark, monitor.live_label_counts(results), "labels")
 
 
 def stream_sends_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rates = _run_complete(spark, monitor.sends_per_minute(_log_stream(spark, sf_dir)), "rates")
-    return rates.select(_time("at"), "sends")
+    """Rates in update mode: windows older than the lateness leave the state, and the last word on each counts."""
+    out = new_shared_path(spark, "rates")
+    rates = monitor.sends_per_minute(_log_stream(spark, sf_dir))
+    feed.write_by_epoch(rates, out, new_shared_path(spark, "checkpoint"), output_mode="update").awaitTermination()
+    last = spark.read.parquet(out).groupBy("at").agg(F.max_by("sends", "epoch").alias("sends"))
+    return last.select(_time("at"), "sends")
 
 
 def stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,6 +519,8 @@ QUERIES: dict[str, Query] = {
     "serve_and_analyse": serve_and_analyse,
     "stream_scores": stream_scores,
     "stream_batches": stream_batches,
+    "stream_full_batches": stream_full_batches,
+    "stream_all_batches": stream_all_batches,
     "stream_label_counts": stream_label_counts,
     "stream_sends_per_minute": stream_sends_per_minute,
     "stream_status": stream_status,

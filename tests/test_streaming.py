@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from moodline.operators import batches, delivery, lexicon, scoring
 from moodline.schemas import CONNECTED, SENT
 from moodline.sources import files
-from moodline.streaming import feed, monitor, progress
+from moodline.streaming import feed, full_batches, monitor, progress
 
 TEXTS = ["so good", "so bad", "nothing at all", "good, good!", "not good"]
 
@@ -212,3 +212,58 @@ def test_a_large_lexicon_scores_a_stream(spark, words, tmp_path, monkeypatch):
     got = spark.read.parquet(str(tmp_path / "out")).drop("epoch")
     assert rows(got.drop("processing_time")) == want
     assert got.filter("processing_time > 0").count() == 40
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_rows_of_full_batches(spark, words, tmp_path, parts):
+    drop_files(tmp_path / "in", lines(97), parts)
+    stream = files.stream_packets(spark, str(tmp_path / "in"), max_files=1)
+    full_batches.start_full_batches(score(stream, words), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(240)
+    results = score(files.read_packets(spark, str(tmp_path / "in")), words).cache()
+    assert rows(full_batches.read_full_batches(spark, str(tmp_path / "out"))) == rows(batches.full_batches(results).drop("arrival"))
+    every = batches.summarise_batches(full_batches.read_all_batches(spark, str(tmp_path / "out")))
+    assert rows(every) == rows(batches.batch_summary(results))
+
+
+def test_a_silent_client_ends_through_the_stream(spark, words, tmp_path):
+    import time
+
+    drop_files(tmp_path / "in", lines(33), 1)
+    stream = files.stream_packets(spark, str(tmp_path / "in"), max_files=1)
+    query = feed.write_by_epoch(
+        progress.batch_progress(score(stream, words), idle_minutes=0.05), str(tmp_path / "out"), str(tmp_path / "cp"), every="1 second"
+    )
+    want = summary_columns(batches.batch_summary(score(files.read_packets(spark, str(tmp_path / "in")), words)))
+    try:
+        until = time.monotonic() + 90
+        got = None
+        while got != want and time.monotonic() < until:
+            time.sleep(1)
+            if list((tmp_path / "out").glob("epoch=*/part-*")):
+                got = summary_columns(spark.read.parquet(str(tmp_path / "out")))
+    finally:
+        query.stop()
+    assert got == want
+
+
+def test_late_sends_are_left_out(spark, tmp_path):
+    import os
+
+    def drop(i, seconds):
+        log = spark.createDataFrame([(s, "c", SENT) for s in seconds], "s double, client string, action string").coalesce(1)
+        log = log.select(F.timestamp_micros((F.col("s") * 1e6).cast("bigint")).alias("event_time"), "client", "action")
+        log.write.mode("append").parquet(str(tmp_path / "log"))
+        for part in (tmp_path / "log").glob("part-*"):
+            if part.name not in seen:
+                seen.add(part.name)
+                os.utime(part, (1_700_000_000 + i,) * 2)
+        return log.schema
+
+    seen = set()
+    for i, seconds in enumerate(([10.0, 400.0], [401.0], [20.0, 402.0])):
+        schema = drop(i, seconds)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    feed.write_by_epoch(monitor.sends_per_minute(stream), str(tmp_path / "out"), str(tmp_path / "cp"), output_mode="append").awaitTermination(120)
+    got = {r["at"].minute * 60 + r["at"].second: r["sends"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    # The send at 10 s is in the windows that close; that at 20 s came after them.
+    assert got[10] == got[65] == 1 and all(n == 1 for at, n in got.items() if at < 300)

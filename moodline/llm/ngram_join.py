@@ -10,8 +10,10 @@ link when 100 * intersection >= percent * union.
    n - ceil(t n) + l of each. A document takes the l that makes its postings plus
    estimated candidates cheapest: the estimate, the sum of the counts in the prefix
    over l, falls as l grows where the prefix holds frequent shingles. Two documents
-   need min(l, l') shared prefix shingles to become candidates. The sketch only steers
-   cost; any order and any l give all links.
+   need min(l, l') shared prefix shingles to become candidates, and more where their
+   sizes say so: with an overlap of o to reach, at most the rest of one of them, n less
+   its prefix, can lie behind the prefixes. The sketch only steers cost; any order and
+   any l give all links.
 3. Shingles that HOT documents or fewer hold in their prefixes give pairs, which are
    counted and verified on whole sets. Documents of a more frequent shingle are dealt
    into blocks of BLOCK, and each pair of blocks is one task that counts prefix
@@ -245,13 +247,16 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 def block_links(ids: np.ndarray, prefixes: list[np.ndarray], matches: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links within a block of documents."""
-    need = np.minimum.outer(matches, matches)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    rest = sizes - np.array([len(p) for p in prefixes], dtype=np.int64)
+    overlap = -(-percent * np.add.outer(sizes, sizes) // (100 + percent))
+    need = np.maximum(np.minimum.outer(matches, matches), overlap - np.maximum.outer(rest, rest))
     candidates = _overlaps(prefixes) >= need
     np.fill_diagonal(candidates, False)
     live = np.flatnonzero(candidates.any(axis=1))
     if not len(live):
         return []
-    sizes = np.array([len(sets[i]) for i in live], dtype=np.float64)
+    sizes = sizes[live].astype(np.float64)
     common = _overlaps([sets[i] for i in live]).astype(np.float64)
     linked = (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)) & candidates[np.ix_(live, live)]
     free, out = np.ones(len(live), dtype=bool), []
@@ -332,7 +337,10 @@ def linked(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     a = small.select("token", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("l").alias("l_a"))
     b = small.select("token", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("l").alias("l_b"))
     near = (F.col("a") < F.col("b")) & (percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
-    met = a.join(b, "token").where(near).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min(F.least("l_a", "l_b")).alias("need"))
+    rest = [F.ceil(percent * F.col(f"n_{x}") / F.lit(100)) - F.col(f"l_{x}") for x in "ab"]
+    overlap = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    need = F.greatest(F.least("l_a", "l_b").cast("long"), overlap - F.greatest(*rest))
+    met = a.join(b, "token").where(near).select("a", "b", need.alias("need")).groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
     pairs = staged(met.where("shared >= need").select("a", "b"), "pairs")
     hot = live.where(F.col("m") > HOT).select("token", "m", "doc_id").distinct()
 

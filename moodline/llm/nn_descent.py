@@ -40,13 +40,13 @@ NEIGHBOURS = 20
 DEGREE = 40
 REVERSE = 24
 PER_NODE = 12
-ROUNDS = 6
+ROUNDS = 8
 ENOUGH = 0.02
 LEAF = 400
 TREES = 4
-BEAM = 160
-EXPAND = 24
-STEPS = 4
+BEAM = 256
+EXPAND = 32
+STEPS = 6
 GRAPH = "u long, ids array<long>, scores array<float>, fresh array<boolean>"
 FOUND = "u long, ids array<long>, scores array<float>"
 

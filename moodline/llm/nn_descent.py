@@ -133,7 +133,7 @@ def _leaves(nodes: DataFrame, n: int, dimension: int) -> DataFrame:
         np.fill_diagonal(s, -np.inf)
         k = min(DEGREE, len(ids) - 1)
         if k < 1:
-            return pd.DataFrame({"u": [], "ids": [], "scores": []})
+            return pd.DataFrame({"u": ids, "ids": [[] for _ in ids], "scores": [[] for _ in ids]})
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
         return pd.DataFrame({"u": ids, "ids": list(ids[top]), "scores": list(np.take_along_axis(s, top, axis=1))})
 

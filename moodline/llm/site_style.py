@@ -47,12 +47,14 @@ PRESENTATION = 0.1
 # Elements nested deeper are read as if they were not, as browsers do.
 DEPTH = 512
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea select title object".split())
+# Elements whose content is no markup. Script and style run to the end if unclosed.
+RAW = frozenset("script style iframe textarea title".split())
+TO_THE_END = frozenset(("script", "style"))
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
     "blockquote pre figure figcaption header footer nav aside form fieldset address details summary hr".split()
 )
-NOISE_TAGS = frozenset("nav footer aside form button dialog menu head fieldset label".split())
+NOISE_TAGS = frozenset("nav footer aside form button dialog menu head fieldset label noscript template svg math select object".split())
 NOISE_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside ad ads adv advert adverts advertisement sponsor "
     "sponsored promo promotion banner notice cookie cookies consent gdpr alert popup modal overlay newsletter subscribe signup login "
@@ -97,6 +99,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
     # The elements in which the block held began.
     place: list[Node] = []
     at, end = 0, len(html)
+    unclosed: set[str] = set()
 
     def flush() -> Iterator[tuple[str, list[Node]]]:
         text = " ".join(unescape("".join(held)).split())
@@ -131,15 +134,23 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
         at = m.end()
         closing, tag = m[1], m[2].lower()
         if tag in RAW:
-            if not closing and not m[3].endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
-                at = close.end() if close else end
+            if not closing and tag not in unclosed:
+                close = re.compile(rf"</{tag}\b[^<>]*+>?", re.I).search(html, at)
+                if close:
+                    at = close.end()
+                elif tag in TO_THE_END:
+                    at = end
+                else:
+                    unclosed.add(tag)
             continue
         if tag == "br":
             held.append(" ")
             continue
         if tag in BLOCK:
             yield from flush()
+        if tag == "body" and not closing:
+            while stack and stack[-1].tag != "html":
+                yield stack.pop()
         if closing:
             if any(n.tag == tag for n in stack) and not (tag not in BLOCK and any(n.tag in BLOCK for n in stack[max(i for i, n in enumerate(stack) if n.tag == tag) + 1 :])):
                 while stack:

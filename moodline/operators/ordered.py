@@ -15,7 +15,9 @@ Beyond ``CHUNK_ROWS`` the table is cut into chunks of the *whole* order
 
 The chunks follow the keys in order, so at most one key runs on from one chunk
 into the next. Step 4 therefore joins fewer than ``MAX_CHUNKS`` rows, which is
-why that side may be broadcast.
+why that side may be broadcast. Beyond ``MAX_CHUNKS * CHUNK_ROWS``, 4.1 billion
+rows, chunks grow with the table: 100 billion rows give about 6 million a chunk,
+which a task sorts on disk.
 """
 
 from __future__ import annotations

@@ -115,9 +115,9 @@ def _strict_label(value: str, otherwise: str = "neutral") -> str:
     return f"CASE WHEN {value} > 0.1::DOUBLE THEN 'positive' WHEN {value} < -0.1::DOUBLE THEN 'negative' ELSE '{otherwise}' END"
 
 
-def _score_query(level: int) -> str:
+def _score_query(level: int, texts: str = "SELECT doc_id AS k, text FROM documents") -> str:
     return f"""
-WITH texts AS (SELECT doc_id AS k, text FROM documents), {_scores(level)}
+WITH texts AS ({texts}), {_scores(level)}
 SELECT CAST(k AS VARCHAR) AS id, compound, positive, negative, neutral, polarity, subjectivity,
        {_compound_label('compound')} AS compound_sentiment, {_strict_label('polarity')} AS polarity_sentiment
 FROM scores"""
@@ -442,6 +442,17 @@ SELECT client, batch_id, seq, compound_score, compound_sentiment
 FROM (SELECT *, count(*) OVER (PARTITION BY client, batch_id) AS n FROM batched) WHERE n = 10"""
 ORACLE_SQL["stream_all_batches"] = f"WITH {_RECEIVED_RESULTS}, {_SUMMARY} SELECT * FROM summary"
 
+ORACLE_SQL["score_spiced"] = _score_query(
+    3,
+    """SELECT doc_id AS k, CASE doc_id % 5 WHEN 1 THEN text || ' best but IDIOT!!' WHEN 2 THEN 'BEST trash no best BUT ' || text
+       WHEN 3 THEN text || ' the best! and vile!!!!!' WHEN 4 THEN text END AS text FROM documents""",
+)
+ORACLE_SQL["report_values"] = f"""WITH {_RESULTS}
+SELECT client, seq, format('{{:+.4f}}', compound_score) AS shown_signed,
+       format('{{:.1f}}%', (seq % 8) / 8 * 100) AS shown_percent, format('{{:.3f}}ms', processing_time * 1000) AS shown_ms,
+       strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS shown_iso, strftime(event_time, '%Y%m%d_%H%M%S') AS shown_stamp
+FROM results"""
+
 # The same rows by another way through the library.
 _SAME = {
     "score_documents_joined": "score_documents",

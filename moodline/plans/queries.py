@@ -142,15 +142,33 @@ def _scores(level: int, words: Callable[[SparkSession], DataFrame] = adapters.le
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = adapters.messages(spark, sf_dir).select("id", "text")
         scored = scoring.score_messages(source, words(spark), "text", level, adapters.WORDS)
-        return scored.select(
-            "id", "compound", "positive", "negative", "neutral", "polarity", "subjectivity",
-            label_compound(F.col("compound")).alias("compound_sentiment"),
-            label_polarity(F.col("polarity")).alias("polarity_sentiment"),
-        )
+        return _scored(scored)
 
     return query
 
 
+def score_spiced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All levels on texts that also hold what prose rarely does: "but", capitals, marks, and no text at all."""
+    turn = F.col("seq") % 5
+    spiced = adapters.messages(spark, sf_dir).select(
+        "id",
+        F.when(turn == 1, F.concat("text", F.lit(" best but IDIOT!!")))
+        .when(turn == 2, F.concat(F.lit("BEST trash no best BUT "), "text"))
+        .when(turn == 3, F.concat("text", F.lit(" the best! and vile!!!!!")))
+        .when(turn == 4, F.col("text"))
+        .alias("text"),
+    )
+    return _scored(scoring.score_messages(spiced, adapters.lexicon(spark), "text", scoring.EMPHASIS, adapters.WORDS))
+
+
+def _scored(scored: DataFrame) -> DataFrame:
+    return scored.select(
+        "id", "compound", "positive", "negative", "neutral", "polarity", "subjectivity",
+        label_compound(F.col("compound")).alias("compound_sentiment"),
+        label_polarity(F.col("polarity")).alias("polarity_sentiment"),
+    )
+
+
 def score_documents_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scores with a lexicon too large for the plan, most of whose tokens no text has."""
     more = spark.range(lexicon.MAX_INDEX_ROWS + 1).select(
@@ -295,6 +313,19 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    results = adapters.results(spark, sf_dir)
+    return results.select(
+        "client",
+        "seq",
+        report.signed(F.col("compound_score"), 4).alias("shown_signed"),
+        report.percent_text(F.col("seq") % 8, F.lit(8)).alias("shown_percent"),
+        report.millis_text(F.col("processing_time"), 3).alias("shown_ms"),
+        report.iso_text(F.col("event_time")).alias("shown_iso"),
+        report.file_stamp(F.col("event_time")).alias("shown_stamp"),
+    )
+
+
 # -- delivery log ---------------------------------------------------------------
 
 
@@ -482,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "score_boosters": _scores(scoring.BOOSTERS),
     "score_emphasis": _scores(scoring.EMPHASIS),
     "score_documents_joined": score_documents_joined,
+    "score_spiced": score_spiced,
     "label_boundaries": label_boundaries,
     "sentiment_totals": sentiment_totals,
     "assign_batches": assign_batches,
@@ -502,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "processing_stats": processing_stats,
     "processing_stats_by_client": processing_stats_by_client,
     "report_lines": report_lines,
+    "report_values": report_values,
     "log_totals": log_totals,
     "active_connections": active_connections,
     "active_connections_chunked": active_connections_chunked,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,6 +36,11 @@ def trigger_of(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_by_epoch(
     stream: DataFrame,
     path: str,
@@ -47,8 +52,11 @@ def write_by_epoch(
     """Write every micro-batch to its own folder, as Parquet.
 
     A micro-batch that is run again after a failure overwrites its folder, so results
-    are neither lost nor doubled.
+    are neither lost nor doubled. A new checkpoint starts at epoch 0 again, and would
+    overwrite what another run left: such a path is refused.
     """
+    if _exists(stream.sparkSession, path) and not _exists(stream.sparkSession, f"{checkpoint}/metadata"):
+        raise FileExistsError(f"{path} holds results of another checkpoint")
 
     def write(batch: DataFrame, epoch: int) -> None:
         out = transform(batch) if transform else batch

@@ -267,3 +267,10 @@ def test_late_sends_are_left_out(spark, tmp_path):
     got = {r["at"].minute * 60 + r["at"].second: r["sends"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     # The send at 10 s is in the windows that close; that at 20 s came after them.
     assert got[10] == got[65] == 1 and all(n == 1 for at, n in got.items() if at < 300)
+
+
+def test_results_of_another_checkpoint_are_not_overwritten(spark, words, tmp_path):
+    drop_files(tmp_path / "in", lines(10), 1)
+    run(score(files.stream_packets(spark, str(tmp_path / "in")), words), tmp_path / "out", tmp_path / "cp")
+    with pytest.raises(FileExistsError):
+        run(score(files.stream_packets(spark, str(tmp_path / "in")), words), tmp_path / "out", tmp_path / "other")

@@ -55,7 +55,7 @@ MAX_MATCHES = 8
 VERIFY_COST = 4.0
 HOT = 64
 BLOCK = 512
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -104,7 +104,7 @@ def _first_pass(docs: DataFrame, k: int) -> DataFrame:
                 ns.append(len(s))
                 sigs.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 held.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
-                if sum(map(len, held[-1:])) and len(held) >= 2000:
+                if len(held) >= 2000:
                     sketch += np.bincount(np.concatenate(held), minlength=1 << SKETCH_BITS).astype(np.uint32)
                     held = []
             if held:

@@ -8,6 +8,13 @@ or is such a long line. Of a counting chunk that appears more than once over all
 first (smallest ``doc_id``, then place) stays, and every later one is removed after
 its bytes were compared with the first.
 
+Chunks miss passages: the first and last chunk of one take in lines around it, and a
+chunk of one line under LONG_LINE words does not count. ``without_repeats`` therefore
+also takes out repeated *runs*: filled lines each two neighbours of which (blank lines
+between them left aside) stand in this order at an earlier place, byte for byte, with
+over RUN_WORDS words together. Every line that goes has an equal one at an earlier place,
+so that its first occurrence stays. ``deduplicated`` keeps to chunks, as its SQL does.
+
 Defined results: NULL and empty texts stay as they are; documents that lose every
 chunk stay as rows with an empty text; rows that agree in ``doc_id`` and text are
 treated alike; further columns are carried along, whatever their names. NULL
@@ -15,7 +22,8 @@ treated alike; further columns are carried along, whatever their names. NULL
 
 Only narrow rows are grouped. Chunk texts move twice: to be joined with the repeated
 keys, a join that adaptive execution can split for a hot chunk, and the repeated ones
-once more to meet the first occurrence for the comparison.
+once more to meet the first occurrence for the comparison. Pairs of lines are grouped by
+their hashes; only those in runs that are long enough fetch their lines.
 """
 
 from __future__ import annotations
@@ -28,6 +36,7 @@ from moodline.llm.tables import bound, staged, words_of
 
 DIVISOR = 3
 LONG_LINE = 50
+RUN_WORDS = 50
 
 
 def _line_hash(line: Column) -> Column:
@@ -35,7 +44,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def _chunks(text: Column) -> Column:
-    """array<struct<body, counts>>: the chunks of a text, which joined by newlines give it back."""
+    """array<struct<body, counts, start, size>>: the chunks of a text, which joined by newlines give it back."""
 
     def facts(line: Column) -> Column:
         n = F.size(words_of(line))
@@ -57,6 +66,8 @@ def _chunks(text: Column) -> Column:
                     return F.struct(
                         F.array_join(F.slice(lines, start + 1, end - start + 1), "\n").alias("body"),
                         ((filled >= 2) | F.exists(part, lambda x: x["long"])).alias("counts"),
+                        start.alias("start"),
+                        (end - start + 1).alias("size"),
                     )
 
                 return F.transform(last, chunk)
@@ -98,17 +109,95 @@ def repeats(docs: DataFrame) -> DataFrame:
     return same.select("at._k1", "at._k2", "at.place").distinct()
 
 
-def _rebuilt(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns but the text), ``text`` without later copies, ``n_removed``."""
+def _pairs(text: Column) -> Column:
+    """array<struct<place, next, n, n_next, h1, h2>>: neighbouring filled lines, their words and hashes of both."""
+
+    def facts(line: Column, i: Column) -> Column:
+        return F.struct(i.alias("place"), line.alias("line"), F.size(words_of(line)).alias("n"))
+
+    def paired(f: Column) -> Column:
+        def pair(b: Column, j: Column) -> Column:
+            a = F.get(f, j)
+            hashes = [F.xxhash64(a["line"], b["line"]).alias("h1"), F.xxhash64(F.lit(1), a["line"], b["line"]).alias("h2")]
+            return F.struct(a["place"].alias("place"), b["place"].alias("next"), a["n"].alias("n"), b["n"].alias("n_next"), *hashes)
+
+        return F.transform(F.slice(f, 2, F.size(f)), pair)
+
+    return bound(F.filter(bound(F.split(text, "\n"), lambda lines: F.transform(lines, facts)), lambda x: x["n"] > 0), paired)
+
+
+def _long_runs(pairs: Column) -> Column:
+    """Of pairs sorted by place, those in runs of over RUN_WORDS words."""
+
+    def runs(s: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.coalesce(F.get(s, i + 1)["place"] != F.get(s, i)["next"], F.lit(True)))
+
+        def split(last: Column) -> Column:
+            def run(end: Column, j: Column) -> Column:
+                start = F.coalesce(F.get(last, j - 1) + 1, F.lit(0))
+                return F.slice(s, start + 1, end - start + 1)
+
+            return F.transform(last, run)
+
+        def long(run: Column) -> Column:
+            return F.aggregate(run, F.element_at(run, -1)["n_next"], lambda total, x: total + x["n"]) > RUN_WORDS
+
+        return F.flatten(F.filter(bound(ends, split), long))
+
+    return bound(pairs, runs)
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """``_k1, _k2, lines``: the places of the lines of each document that are in repeated runs."""
+    rows = _keyed(docs.select("doc_id", "text")).where(F.col("text") != "")
+    each = rows.select("doc_id", "_k1", "_k2", once(F.col("text"), _pairs).alias("p")).select("doc_id", "_k1", "_k2", F.explode("p").alias("p"))
+    at = F.struct("doc_id", "_k1", "_k2", "p.place", "p.next")
+    found = staged(each.select(F.col("p.h1").alias("h1"), F.col("p.h2").alias("h2"), "p.n", "p.n_next", at.alias("at")), "line-pairs")
+    keys = found.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("at").alias("first")).where("times > 1").drop("times")
+    later = found.join(keys, ["h1", "h2"]).where(F.col("at") != F.col("first"))
+    pair = F.struct("at.place", "at.next", "n", "n_next", "h1", "h2", "first")
+    by_doc = later.groupBy("at._k1", "at._k2").agg(F.sort_array(F.collect_set(pair)).alias("p"))
+    hashed = staged(by_doc.select("_k1", "_k2", F.explode(_long_runs(F.col("p"))).alias("p")).select("_k1", "_k2", "p.*"), "line-runs")
+
+    # The lines of these pairs and of their first occurrences, for the comparison.
+    copies = hashed.select("_k1", "_k2", F.struct("place", "next", "n", "n_next", "h1", "h2", F.lit(False).alias("is_first")).alias("p"))
+    firsts = hashed.select("first._k1", "first._k2", F.struct("first.place", "first.next", "n", "n_next", "h1", "h2", F.lit(True).alias("is_first")).alias("p"))
+    wanted = copies.union(firsts).groupBy("_k1", "_k2").agg(F.collect_set("p").alias("wanted"))
+
+    def with_lines(lines: Column) -> Column:
+        return F.transform("wanted", lambda p: F.struct(p.alias("p"), F.get(lines, p["place"]).alias("a"), F.get(lines, p["next"]).alias("b")))
+
+    texts = rows.select("_k1", "_k2", "text").join(wanted, ["_k1", "_k2"])
+    bodies = staged(texts.select("_k1", "_k2", F.explode(bound(F.split("text", "\n"), with_lines)).alias("w")).select("_k1", "_k2", "w.p.*", "w.a", "w.b"), "line-bodies")
+    kept = bodies.where("is_first").select("h1", "h2", F.col("a").alias("kept_a"), F.col("b").alias("kept_b")).dropDuplicates(["h1", "h2"])
+    same = (F.encode("a", "utf-8") == F.encode("kept_a", "utf-8")) & (F.encode("b", "utf-8") == F.encode("kept_b", "utf-8"))
+    equal = bodies.where(~F.col("is_first")).join(kept, ["h1", "h2"]).where(same)
+    pairs = equal.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set(F.struct("place", "next", "n", "n_next"))).alias("p"))
+    lines = F.array_distinct(F.flatten(F.transform("p", lambda p: F.sequence(p["place"], p["next"]))))
+    return pairs.select("_k1", "_k2", _long_runs(F.col("p")).alias("p")).where(F.size("p") > 0).select("_k1", "_k2", lines.alias("lines"))
+
+
+def _rebuilt(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """``row`` (all columns but the text), ``text`` without later copies of chunks (and ``runs``), ``n_removed`` chunks, ``changed``."""
     gone = repeats(docs).groupBy("_k1", "_k2").agg(F.collect_list("place").alias("gone"))
-    both = _keyed(docs).drop("doc_id").join(gone, ["_k1", "_k2"], "left")
+    lines = F.array().cast("array<int>")
+    if runs:
+        gone = gone.join(repeated_lines(docs), ["_k1", "_k2"], "full")
+        lines = F.coalesce("lines", lines)
+    both = _keyed(docs).drop("doc_id").join(gone.withColumn("lines", lines), ["_k1", "_k2"], "left")
 
     def kept(parts: Column) -> Column:
-        places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
-        return F.array_join(F.transform(places, lambda p: F.get(parts, p)["body"]), "\n")
+        in_chunks = F.flatten(F.transform(F.coalesce("gone", F.array().cast("array<int>")), lambda p: bound(F.get(parts, p), lambda c: F.sequence(c["start"], c["start"] + c["size"] - 1))))
+
+        def rest(all_lines: Column) -> Column:
+            places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.concat(in_chunks, F.col("lines")))
+            return F.array_join(F.transform(places, lambda p: F.get(all_lines, p)), "\n")
+
+        return bound(F.split("text", "\n"), rest)
 
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(bound(_chunks(F.col("text")), kept))
-    return both.select("row", F.coalesce(F.array_size("gone"), F.lit(0)).alias("n_removed"), once(text, lambda t: t).alias("text"))
+    text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(bound(_chunks(F.col("text")), kept))
+    n = F.coalesce(F.array_size("gone"), F.lit(0))
+    return both.select("row", n.alias("n_removed"), F.col("lines").isNotNull().alias("changed"), once(text, lambda t: t).alias("text"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -117,7 +206,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with their own columns; ``n_chars``, if there is one, follows the text."""
-    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+    """The documents with their own columns, without later copies of chunks and runs; ``n_chars``, if there is one, follows the text."""
+    length = F.when(F.col("changed"), F.length("text").cast("long"))
     own = {"text": F.col("text"), "n_chars": F.coalesce(length, F.col("row.n_chars")).alias("n_chars") if "n_chars" in docs.columns else None}
-    return _rebuilt(docs).select(*[own[c] if c in own else F.col(f"row.`{c}`") for c in docs.columns])
+    return _rebuilt(docs, runs=True).select(*[own[c] if c in own else F.col(f"row.`{c}`") for c in docs.columns])

@@ -209,6 +209,23 @@ def test_chunks_resist_shifts(spark):
     assert out[1] == rows[0][1] and out[2].startswith("something else on top") and len(out[2].split("\n")) < 15
 
 
+def test_repeated_passages_lose_all_their_lines(spark):
+    rows, left = [], {}
+    for i in range(40):
+        passage = [words(n, 1000 + 10 * i + j) for j, n in enumerate((25, 25, 3) if i % 2 else (43, 49))]
+        around = [words(20, 5000 + 10 * i + j) for j in range(4)]
+        rows += [(i, "\n".join([*around[:1], *passage, *around[1:2]])), (100 + i, "\n".join([*around[2:3], passage[0], "", *passage[1:], *around[3:]]))]
+        left |= {i: rows[-2][1], 100 + i: "\n".join(around[2:])}
+    few = [words(24, 9001), words(26, 9002)]
+    # Fifty words are not over fifty; a lone line under fifty is no passage.
+    rows += [(200, few[0] + "\n" + words(7, 9003)), (201, few[0] + "\nother")]
+    left |= {200: rows[-2][1], 201: rows[-1][1]}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(docs).collect()} == left
+    fifty = spark.createDataFrame([(i, "\n".join([*few, words(9, 9100 + i)])) for i in range(3)], "doc_id long, text string")
+    assert line_chunks.repeated_lines(fifty).count() == 0
+
+
 def test_native_operators_run_no_python(odd):
     for df in (quality_rules.accepted(odd), line_chunks.without_repeats(odd)):
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -35,7 +35,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequences and places."""
+    """Token pieces with their ids, sequences and places."""
     return packing.pack(docs)
 
 

@@ -9,7 +9,9 @@ as its lengths last, so that each uses up a length and there are few patterns.
 
 Pieces then find their places: a piece's rank among those of its length, counted in
 salted groups so that a frequent length is never gathered, falls into the slots that
-the patterns gave to this length.
+the patterns gave to this length. Only narrow rows are ranked; the token ids of a piece,
+little-endian in four bytes each, come back to its place by a key that no other piece has.
+``sequences`` and ``write_sequences`` give the training sequences.
 
 Defined results: a NULL or empty text gives one piece, the end token alone; repeated
 rows are packed as often as they appear; further columns do not matter.
@@ -28,7 +30,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +48,10 @@ MARKS = b".,;:!?*#$%&"
 _MARKS_TOGETHER = re.compile(rb"[^a-z0-9\x20\x09-\x0d][.,][\x20\n]")
 CACHE_NAME = "moodline_token_ids"
 VOCABULARY = "word_bpe_49k.json"
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, key long, ids binary"
+PLACED = "doc_id long, piece int, start long, length long, key long, sequence_id long, offset long"
+# Pieces of one task that keys have room for.
+TASK_PIECES = 1 << 40
 Slots = tuple[tuple[int, int], ...]
 
 
@@ -128,12 +133,14 @@ def _runs(raw: bytes | None) -> list[bytes]:
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Token pieces of every document: its ids and the end token, cut only beyond ``capacity``.
 
-    ``path`` names the vocabulary file on every executor.
+    ``path`` names the vocabulary file on every executor. ``key`` numbers the pieces of
+    each task; it differs for all rows of a table that is written, not from run to run.
     """
     end = np.array([END], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _ids(path)
+        key = TaskContext.get().partitionId() * TASK_PIECES
         for batch in (b.slice(at, LEARN_ROWS) for b in batches for at in range(0, max(1, len(b)), LEARN_ROWS)):
             rows = []
             texts = [_runs(text.as_py()) for text in batch.column(1)]
@@ -142,11 +149,12 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
                 whole = b"".join(map(ids.__getitem__, runs)) + end
                 for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
-                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = zip(*rows) if rows else [[]] * 5
+                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part), key, part))
+                    key += 1
+            columns = zip(*rows) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
+                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "key", "ids"],
             )
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(cut, PIECES)
@@ -227,19 +235,19 @@ def _slots(patterns: list[tuple[Slots, int]]) -> dict[int, np.ndarray]:
 
 
 def packed(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces (as ``pieces`` gives them) with ``sequence_id`` and ``offset``."""
+    """``doc_id, piece, start, length, sequence_id, offset, ids`` of pieces (as ``pieces`` gives them)."""
     spark = found.sparkSession
     found = staged(found, "pieces")
     totals = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.sparkContext.broadcast(_slots(pack_counts(totals, capacity)))
     salts = spark.createDataFrame([(x, max(1, -(-n // SALT_ROWS))) for x, n in totals.items()], "length long, salts long")
-    salted = found.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts"))).drop("salts")
+    salted = found.drop("ids").join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts"))).drop("salts")
     per = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     before = per.select("length", "salt", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "key")
     ranked = salted.withColumn("within", F.row_number().over(within) - 1).join(before, ["length", "salt"])
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("within")).alias("rank"))
+    ranked = ranked.select("doc_id", "piece", "start", "length", "key", (F.col("before") + F.col("within")).alias("rank"))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value
@@ -256,8 +264,21 @@ def packed(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                     offset[part] = hit[:, 3] + along % hit[:, 2] * length[part]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(placed, PIECES + ", sequence_id long, offset long")
+    return ranked.mapInArrow(placed, PLACED).join(found.select("key", "ids"), "key").drop("key")
 
 
 def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return packed(pieces(docs, path))
+    """Every piece of ``docs`` with its place, its ``ids`` and their digest, ``ids_crc32``."""
+    return packed(pieces(docs, path)).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "ids")
+
+
+def sequences(rows: DataFrame) -> DataFrame:
+    """``sequence_id, length, ids``: the pieces of each sequence one after another, at most CAPACITY ids."""
+    parts = rows.groupBy("sequence_id").agg(F.sum("length").alias("length"), F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+    joined = F.aggregate("parts", F.lit("").cast("binary"), lambda whole, p: F.concat(whole, p["ids"]))
+    return parts.select("sequence_id", "length", joined.alias("ids"))
+
+
+def write_sequences(rows: DataFrame, path: str) -> None:
+    """The sequences as Parquet, in files that follow one another by ``sequence_id``."""
+    sequences(rows).repartitionByRange("sequence_id").sortWithinPartitions("sequence_id").write.parquet(path)

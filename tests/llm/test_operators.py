@@ -319,6 +319,21 @@ def test_packing_is_gapless_and_tight(spark, medium_dir, monkeypatch):
     assert assert_gapless(rows) <= -(-total // 4096) + 1
 
 
+def test_sequences_hold_the_ids_of_their_pieces(spark, odd, none, tmp_path):
+    rows = packing.pack(odd).cache()
+    packing.write_sequences(rows, str(tmp_path / "s"))
+    written = spark.read.parquet(str(tmp_path / "s")).collect()
+    ids = {r["sequence_id"]: np.frombuffer(r["ids"], dtype="<u4") for r in written}
+    assert len(ids) == len(written) and all(len(ids[r["sequence_id"]]) == r["length"] <= 4096 for r in written)
+    for r in rows.collect():
+        part = ids[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]]
+        assert part.tobytes() == bytes(r["ids"]) and zlib.crc32(part.tobytes()) == r["ids_crc32"]
+    assert sum(map(len, ids.values())) == rows.agg(F.sum("length")).first()[0]
+    last = corpus_pipeline.STAGES[-1][1](spark, odd, "")
+    assert tuples(last.select("doc_id", "piece", F.crc32("ids"))) == tuples(last.select("doc_id", "piece", "ids_crc32"))
+    assert packing.sequences(packing.pack(none)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_counts_are_used_up(seed):
     pick = random.Random(seed)

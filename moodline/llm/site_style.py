@@ -64,9 +64,11 @@ NOISE_NAMES = frozenset(
 LANDMARKS = frozenset(("article", "main"))
 # An element's start closes these open ones, as their end tags may be left out.
 IMPLIED = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]{0,60}+)((?:[^<>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+)>")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]{0,60}+)")
+_PLAIN = re.compile(r"[^<>\"']*+")
 _ANY = re.compile(r"<[/!?][^<>]*+>")
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# Quoted values of other attributes are passed over as a whole.
+_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'", re.I)
 _NAME = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -77,7 +79,7 @@ class Node:
     __slots__ = ("tag", "path", "noise", "landmark", "named", "children")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None) -> None:
-        found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attributes)} if attributes.strip() else {}
+        found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attributes) if m[1]} if attributes.strip() else {}
         names = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()
         key = f"{tag}.{_DIGITS.sub('', names).strip()}"
         inside = bool(parent and parent.landmark)
@@ -92,6 +94,25 @@ class Node:
         self.children: list[str] = []
 
 
+def tag_end(html: str, at: int, dead: set[int]) -> int:
+    """Where the ``>`` of a tag stands whose attributes begin at ``at``, or -1; quoted values may have any length.
+
+    ``dead`` keeps the places after quoted values from which no tag of the page ends, so
+    that no part of a page is searched for each of many tags.
+    """
+    passed = []
+    while True:
+        at = _PLAIN.match(html, at).end()
+        mark = html[at : at + 1]
+        if mark == ">":
+            return at
+        at = html.find(mark, at + 1) + 1 if mark in ('"', "'") else 0
+        if not at or at in dead:
+            dead.update(passed)
+            return -1
+        passed.append(at)
+
+
 def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
     """Blocks of a page in order, each with its open elements, and every element when it closes."""
     stack: list[Node] = []
@@ -100,6 +121,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
     place: list[Node] = []
     at, end = 0, len(html)
     unclosed: set[str] = set()
+    dead: set[int] = set()
 
     def flush() -> Iterator[tuple[str, list[Node]]]:
         text = " ".join(unescape("".join(held)).split())
@@ -121,7 +143,8 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
             at = end if close < 0 else close + 3
             continue
         m = _TAG.match(html, start)
-        if not m:
+        close = tag_end(html, m.end(), dead) if m else -1
+        if close < 0:
             other = _ANY.match(html, start)
             if other:
                 at = other.end()
@@ -131,7 +154,8 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
                 held.append("<")
                 at = start + 1
             continue
-        at = m.end()
+        attributes = html[m.end() : close]
+        at = close + 1
         closing, tag = m[1], m[2].lower()
         if tag in RAW:
             if not closing and tag not in unclosed:
@@ -170,8 +194,8 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
                     yield stack.pop()
         if stack:
             stack[-1].children.append(tag)
-        if not m[3].endswith("/") and len(stack) < DEPTH:
-            stack.append(Node(tag, m[3], stack[-1] if stack else None))
+        if not attributes.endswith("/") and len(stack) < DEPTH:
+            stack.append(Node(tag, attributes, stack[-1] if stack else None))
     yield from flush()
     yield from reversed(stack)
 

@@ -41,14 +41,15 @@ DERIVED = (
     "page_id long, record_id string, warc_type string, refers_to string, concurrent_to string, target_uri string, date string, "
     "content_type string, content_length long, block_digest string, payload_digest string, headers string, block string"
 )
-_INSIDE = r"(?:[^<>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+')*+"
-_SKIPPED = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b{_INSIDE}>.*?(?:</\1\s*+>|\Z)", re.S | re.I)
-_BREAK = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b"
-    rf"{_INSIDE}>",
-    re.I,
+# Quoted values may have any length. A tag without an end is taken out as far as it goes, so that no part is read for each of many tags.
+_INSIDE = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+_MARKUP = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b{_INSIDE}>.*?(?:</\1\s*+>|\Z)|</?([a-zA-Z!?]\w*+){_INSIDE}(>?)", re.S | re.I
+)
+_BREAKS = frozenset(
+    "address article aside blockquote body br dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre "
+    "section table td th title tr ul".split()
 )
-_TAG = re.compile(rf"</?[a-zA-Z!?]{_INSIDE}>?")
 _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r"\s*\n\s*")
 
@@ -68,8 +69,7 @@ def head_of(*fields: tuple[str, object]) -> str:
 
 def plain_text(html: str) -> str:
     """Visible text of a page, one block a line."""
-    text = _SKIPPED.sub(" ", html)
-    text = _TAG.sub(" ", _BREAK.sub("\n", text))
+    text = _MARKUP.sub(lambda m: "\n" if m[3] and m[2].lower() in _BREAKS else " ", html)
     return _LINES.sub("\n", _BLANK.sub(" ", unescape(text))).strip()
 
 

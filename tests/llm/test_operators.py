@@ -419,6 +419,23 @@ def test_markup_is_read_in_linear_time():
         site_style.main_text(text, frozenset())
 
 
+@pytest.mark.parametrize("n", [5_001, 1_000_000])
+def test_attributes_of_any_length(n):
+    for quote in "\"'":
+        value = f"data:{'/id/aB+' * (n // 7 + 1)}"[:n]
+        body = f"<p>one</p><img src={quote}{value}{quote}><div id='x' class=sidebar data-x={quote}{value}{quote}>aside</div><p title={quote}{value}{quote}>two</p>"
+        assert site_style.main_text(page(body), frozenset()) == "one two"
+        assert warc.plain_text(body).split() == ["one", "aside", "two"]
+    node = site_style.Node("div", f' class="sidebar" id="a" data-x="{value}"', None)
+    assert node.noise and node.path == site_style.Node("div", ' class="sidebar" id="a"', None).path
+
+
+def test_tags_without_end_are_read_in_linear_time():
+    for text in ('<a "<a" ' + '"<a" ' * 100_000, "<p '<p' " + "'<p' " * 100_000, "<p \"<p '" * 60_000, "<p '" + "<p " * 100_000, '<script "' * 50_000):
+        site_style.main_text(text, frozenset())
+        warc.plain_text(text)
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a.org/x\r\ny", "<p>one<p>two &lt;3<script>no</script>"), (2, None, None), (3, "", ""), (3, "", ""), (None, "http://b.org", "é\U0001f600")]
     source = warc.responses(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, headers string"))

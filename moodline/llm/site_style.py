@@ -113,16 +113,35 @@ def tag_end(html: str, at: int, dead: set[int]) -> int:
         passed.append(at)
 
 
+def _block_level(stack: list[Node]) -> list[Node]:
+    """The open elements down to the innermost block, or element that makes its content the main text."""
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i].tag in BLOCK or (stack[i].landmark and not (i and stack[i - 1].landmark)):
+            return stack[: i + 1]
+    return []
+
+
 def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
-    """Blocks of a page in order, each with its open elements, and every element when it closes."""
+    """Blocks of a page in order, each with its open block-level elements, and every element when it closes.
+
+    Parts of a block in an inline element of noise (a label, a button) are left out; a
+    block that is noise as a whole is not.
+    """
     stack: list[Node] = []
     held: list[str] = []
-    # The elements in which the block held began.
+    # The block-level elements of the block held.
     place: list[Node] = []
     at, end = 0, len(html)
     unclosed: set[str] = set()
     dead: set[int] = set()
 
+    def hold(part: str) -> None:
+        nonlocal place
+        if not held:
+            place = _block_level(stack)
+        noise = stack and stack[-1].noise and not (place and place[-1].noise)
+        held.append(" " if noise else part)
+
     def flush() -> Iterator[tuple[str, list[Node]]]:
         text = " ".join(unescape("".join(held)).split())
         held.clear()
@@ -133,9 +152,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
         start = html.find("<", at)
         if start != at:
             part = html[at:] if start < 0 else html[at:start]
-            if not held:
-                place = [n for n in stack]
-            held.append(part)
+            hold(part)
             if start < 0:
                 break
         if html.startswith("<!--", start):
@@ -149,9 +166,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
             if other:
                 at = other.end()
             else:
-                if not held:
-                    place = [n for n in stack]
-                held.append("<")
+                hold("<")
                 at = start + 1
             continue
         attributes = html[m.end() : close]

@@ -436,6 +436,19 @@ def test_tags_without_end_are_read_in_linear_time():
         warc.plain_text(text)
 
 
+def test_noise_inside_a_paragraph_goes_alone():
+    for wrap in ("{}", "<article>{}</article>"):
+        for body, want in (
+            ("<p><span class=notice>New</span> long article paragraph</p>", "long article paragraph"),
+            ("<p>text <span class=ad>Buy <b>now</b></span> more</p>", "text more"),
+            ("<p>text <button>Share</button></p><p><label>x</label></p>", "text"),
+            ("<p>one<svg><text>no</text></svg>two <i>three</i></p>", "one two three"),
+            ("<div class=ad><p>all <i>noise</i></p></div><p>rest</p>", "rest"),
+        ):
+            assert site_style.main_text(page(wrap.format(body)), frozenset()) == want
+    assert site_style.main_text("<body>a<span role=main>kept</span>", frozenset()).endswith("kept")
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a.org/x\r\ny", "<p>one<p>two &lt;3<script>no</script>"), (2, None, None), (3, "", ""), (3, "", ""), (None, "http://b.org", "é\U0001f600")]
     source = warc.responses(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, headers string"))

@@ -95,4 +95,16 @@ SELECT d.doc_id, coalesce(r.n_removed, 0) AS n_removed, coalesce(r.new_text, d.t
 FROM documents d LEFT JOIN rebuilt r USING (doc_id)
 """
 
-ORACLE_SQL = {"op1_ngram_join": OP1, "op3_quality_rules": OP3, "op8_line_dedup": OP8}
+OP11 = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+  FROM documents
+), g AS (
+  SELECT *, count(*) OVER (PARTITION BY body) AS group_size,
+    first_value(doc_id) OVER (PARTITION BY body ORDER BY chars DESC, doc_id) AS keep_id
+  FROM t
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
+"""
+
+ORACLE_SQL = {"op1_ngram_join": OP1, "op3_quality_rules": OP3, "op8_line_dedup": OP8, "op11_block_naming": OP11}

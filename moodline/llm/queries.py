@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import cotraining, curriculum, line_chunks, ngram_join, nn_descent, packing, quality_rules, site_style, toxicity, warc
+from moodline.llm import (
+    block_names,
+    cotraining,
+    curriculum,
+    line_chunks,
+    ngram_join,
+    nn_descent,
+    packing,
+    periodic_runs,
+    quality_rules,
+    site_style,
+    toxicity,
+    trie_frontier,
+    warc,
+)
 from moodline.llm.tables import table
 
 
@@ -53,6 +67,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op11_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.groups(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_frontier.variants(table(spark, sf_dir, "documents"), slips=199)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_cotraining": op2_cotraining,
@@ -64,4 +91,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_block_naming": op11_block_naming,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }

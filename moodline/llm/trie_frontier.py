@@ -10,17 +10,17 @@ near if they differ by one inserted, deleted or replaced code point.
    by an end mark. Near words of up to m code points share a prefix of at least half of
    m or else such a suffix, so in each trie an edit is only tried from half the word on,
    where nodes have few children, and both tries start below the first letters.
-3. Level by level, states (word, rest of the word, node, edits) meet the nodes of their
-   level, which are rows with the list of their edges. A state without edits follows its
-   own word and branches off where an edge differs from its next letter: so each pair is
-   found at the end of its common prefix. A state with an edit follows one edge. A node
-   with one word below it is a leaf that holds the rest of this word, and a state that
-   reaches it is a neighbour or ends. An edge carries the letters that follow it, and
-   states that could not take the next step are not made.
+3. Level by level, states (word, rest of the word, node, edits) are joined with the edge
+   table of their level. A state without edits follows its own word by node and letter,
+   and branches off, by node, where an edge differs from its next letter: so each pair is
+   found at the end of its common prefix. A state with an edit follows one edge. An edge
+   with one word below it leads to a leaf that holds the rest of this word, and a state
+   that reaches it is a neighbour or ends. An edge carries the letters that follow it,
+   and states that could not take the next step are not made.
 4. The form of a word is its near word of largest count, if that is at least FACTOR
    times its own; roots follow forms by pointer doubling.
 
-The nodes of a level are broadcast while they are at most BROADCAST_NODES, counted each
+The edges of a level are broadcast while they are at most BROADCAST_EDGES, counted each
 time; beyond that they are shuffled, and states of a frequent node are split as skewed
 join partitions are. A node has at most 91 edges. The number of levels is the longest
 prefix or suffix that two words share.
@@ -51,7 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LETTERS = 6
 COUNT = 5
 FACTOR = 5
-BROADCAST_NODES = 20_000
+BROADCAST_EDGES = 20_000
 # Distinct words that a task adds up before it hands them on.
 HELD_WORDS = 200_000
 END = "."
@@ -114,13 +114,13 @@ def _roots(words: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def _nodes(states: DataFrame) -> DataFrame:
-    """The level's part of the edge table: a row per node with its edges.
+def _edges(states: DataFrame) -> DataFrame:
+    """The level's part of the edge table, by node and letter.
 
     ``only``, ``only_n`` and ``tail`` say which word an edge leads to, if it is one.
     """
-    own = states.where("edits = 0").withColumn("letter", F.left("rest", F.lit(1))).withColumn("after", F.expr("substring(rest, 2)"))
-    edges = own.groupBy("node", "letter").agg(
+    own = states.where("edits = 0").select("word", "n", "node", F.left("rest", F.lit(1)).alias("letter"), F.expr("substring(rest, 2)").alias("after"))
+    grouped = own.groupBy("node", "letter").agg(
         F.count("*").alias("size"),
         F.min("word").alias("only"),
         F.min("n").alias("only_n"),
@@ -128,37 +128,38 @@ def _nodes(states: DataFrame) -> DataFrame:
         F.concat_ws("", F.collect_set(F.left("after", F.lit(1)))).alias("nexts"),
     )
     alone = F.col("size") == 1
-    edge = F.struct("letter", "size", *[F.when(alone, F.col(c)).alias(c) for c in ("only", "only_n", "tail")], "nexts")
-    return edges.groupBy("node").agg(F.collect_list(edge).alias("edges"))
+    return grouped.select("node", "letter", "size", *[F.when(alone, F.col(c)).alias(c) for c in ("only", "only_n", "tail")], "nexts")
 
 
-def _moves(states: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
+def _moves(states: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     """The states of the next level, and the neighbours found (rows with ``near``)."""
-    met = states.join(nodes, "node").select("word", "n", "rest", "node", "edits", F.explode("edges").alias("e"))
-    letter, rest = F.col("e.letter"), F.col("rest")
     one, two = F.left("rest", F.lit(1)), F.expr("substring(rest, 2, 1)")
-    follows = letter == one
     may_edit = (F.col("edits") == 0) & (2 * depth >= F.length("word") - 1)
-    step = lambda skipped, edits: F.struct(F.expr(f"substring(rest, {skipped + 1})").alias("rest"), edits.alias("edits"))
-    after = F.array(
-        F.when(follows, step(1, F.col("edits"))),
-        F.when(may_edit & ~follows & (letter != END) & (one != END), step(1, F.lit(1))),  # replaced
-        F.when(may_edit & ~follows & (letter != END), step(0, F.lit(1))),  # inserted
-        F.when(may_edit & (one != END) & (two != one) & (letter == two), step(2, F.lit(1))),  # deleted
-    )
-    taken = met.select("word", "n", "node", "e", F.explode(F.filter(after, lambda a: a.isNotNull())).alias("a"))
-    left, edited = F.col("a.rest"), F.col("a.edits") == 1
-    leaf = F.col("e.size") == 1
-    hit = leaf & edited & (F.col("e.tail") == left)
-    goes_on = ~leaf & (~edited | F.contains("e.nexts", F.left(left, F.lit(1))))
-    return taken.where(hit | goes_on).select(
+    after = lambda skipped: F.expr(f"substring(rest, {skipped + 1})").alias("rest")
+
+    # the next letter, or the one after it where the next is left out
+    followed = F.struct(one.alias("letter"), after(1), F.col("edits").alias("edits"))
+    skipped = F.struct(two.alias("letter"), after(2), F.lit(1).alias("edits"))
+    tries = F.explode(F.array(followed, F.when(may_edit & (one != END) & (two != one), skipped)))
+    along = states.select("word", "n", "node", tries.alias("a")).where("a IS NOT NULL").select("word", "n", "node", "a.*").join(edges, ["node", "letter"])
+
+    # any other letter, in place of the next or before it
+    turns = F.explode(F.array(F.when(one != END, F.struct(after(1))), F.struct(after(0))))
+    turned = states.where(may_edit).select("word", "n", "node", one.alias("passed"), turns.alias("a")).where("a IS NOT NULL")
+    others = edges.where(F.col("letter") != END)
+    aside = turned.select("word", "n", "node", "passed", "a.rest", F.lit(1).alias("edits")).join(others, "node").where("letter != passed").drop("passed")
+
+    leaf, edited = F.col("size") == 1, F.col("edits") == 1
+    hit = leaf & edited & (F.col("tail") == F.col("rest"))
+    goes_on = ~leaf & (~edited | F.contains("nexts", F.left("rest", F.lit(1))))
+    return along.unionByName(aside).where(hit | goes_on).select(
         "word",
         "n",
-        F.when(~leaf, left).alias("rest"),
-        F.when(~leaf, F.concat("node", letter)).alias("node"),
-        F.col("a.edits").alias("edits"),
-        F.col("e.only").alias("near"),
-        F.col("e.only_n").alias("near_n"),
+        F.when(~leaf, F.col("rest")).alias("rest"),
+        F.when(~leaf, F.concat("node", "letter")).alias("node"),
+        "edits",
+        F.col("only").alias("near"),
+        F.col("only_n").alias("near_n"),
     )
 
 
@@ -170,9 +171,9 @@ def neighbours(words: DataFrame, letters: int = LETTERS) -> DataFrame:
     depth = letters // 2
     states, found = _roots(words, depth), []
     while True:
-        nodes = staged(_nodes(states), "trie-nodes")
-        size = nodes.count()
-        moves = staged(_moves(states, F.broadcast(nodes) if size <= BROADCAST_NODES else nodes, depth), "trie-states")
+        edges = staged(_edges(states), "trie-edges")
+        few = edges.count() <= BROADCAST_EDGES
+        moves = staged(_moves(states, F.broadcast(edges) if few else edges, depth), "trie-states")
         found.append(moves.where("near IS NOT NULL").select("word", "n", "near", "near_n"))
         states = moves.where("near IS NULL").drop("near", "near_n")
         if states.isEmpty():

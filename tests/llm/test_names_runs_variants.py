@@ -238,8 +238,8 @@ def test_variants_of_words_that_differ_little(spark):
     assert tuples(trie_frontier.variants(table_of(spark, rows), slips=199)) == plain_variants(rows)
 
 
-def test_variants_with_shuffled_nodes(spark, odd, monkeypatch):
-    monkeypatch.setattr(trie_frontier, "BROADCAST_NODES", 0)
+def test_variants_with_shuffled_edges(spark, odd, monkeypatch):
+    monkeypatch.setattr(trie_frontier, "BROADCAST_EDGES", 0)
     assert tuples(trie_frontier.variants(odd, slips=199)) == plain_variants(odd_texts())
 
 

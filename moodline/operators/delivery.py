@@ -210,6 +210,18 @@ def connection_history(
     )
 
 
+def shown_history(
+    log: DataFrame, n: int = HISTORY_SHOWN, order: Sequence[str] = DEFAULT_ORDER
+) -> DataFrame:
+    """The latest ``n`` connects and disconnects as they are shown: ``place`` 1 is the oldest of them."""
+    changes = _with_micros(log.filter(is_action(CONNECTED) | is_action(DISCONNECTED)))
+    latest = changes.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    # n rows at most
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint")
+    action = F.when(is_action(CONNECTED), "connect").otherwise("disconnect")
+    return latest.select(place.alias("place"), clock(F.col("event_time")).alias("at"), F.substring_index("client", ":", 1).alias("client_ip"), action.alias("action"))
+
+
 def _now(log: DataFrame, now: datetime | None) -> Column:
     """Time of asking; by default that of the last event, as a scalar subquery."""
     return F.lit(now) if now is not None else log.agg(F.max("event_time").alias("now")).scalar()
@@ -264,14 +276,19 @@ def status_snapshot(
             "available": messages.agg(F.count(F.lit(1)).alias("n")).scalar(),
         }
     )
-    return timed.select(
-        "uptime_s",
-        "total_sent",
+    return timed.select(*dashboard())
+
+
+def dashboard() -> list[Column]:
+    """The columns of a status row, from counters, ``uptime_s``, ``available`` and ``_recent``, the sends of the last minute."""
+    return [
+        F.col("uptime_s"),
+        F.col("total_sent"),
         F.least(F.col("_recent"), F.lit(RATE_RING).cast("bigint")).alias("sends_per_minute"),
-        "active_connections",
-        "total_connections",
-        "errors",
-        "available",
+        F.col("active_connections"),
+        F.col("total_connections"),
+        F.col("errors"),
+        F.col("available"),
         *_rates(F.col("total_sent"), F.col("uptime_s")),
         F.when(F.col("active_connections") > 0, STREAMING).otherwise(WAITING).alias("status"),
-    )
+    ]

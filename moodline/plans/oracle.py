@@ -453,6 +453,12 @@ SELECT client, seq, format('{{:+.4f}}', compound_score) AS shown_signed,
        strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS shown_iso, strftime(event_time, '%Y%m%d_%H%M%S') AS shown_stamp
 FROM results"""
 
+ORACLE_SQL["shown_history"] = f"""WITH {_LOG},
+latest AS (SELECT * FROM steps WHERE step <> 0 ORDER BY us DESC, seq DESC LIMIT 3)
+SELECT row_number() OVER (ORDER BY us, seq) AS place, strftime(event_time, '%H:%M:%S') AS at, client AS client_ip,
+       CASE WHEN step = 1 THEN 'connect' ELSE 'disconnect' END AS action
+FROM latest"""
+
 # The same rows by another way through the library.
 _SAME = {
     "score_documents_joined": "score_documents",
@@ -464,5 +470,13 @@ _SAME = {
     "results_csv": "received_results",
     "received_from_files": "received_results",
     "full_batches_file": "full_batches",
+    "stream_batches_shuffled": "stream_batches",
+    "stream_sessions": "session_durations",
+    "stream_client_stats": "client_stats",
+    "stream_trailing_rate": "trailing_rate",
+    "stream_trailing_rate_hour": "trailing_rate_hour",
+    "stream_connection_history": "shown_history",
+    "stream_snapshot": "status_snapshot",
+    "stream_compacted": "session_durations",
 }
 ORACLE_SQL.update({name: ORACLE_SQL[twin] for name, twin in _SAME.items()})

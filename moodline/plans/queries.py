@@ -12,11 +12,12 @@ from moodline.functions import report
 from moodline.functions.labels import label_compound, label_polarity, trend_label
 from moodline.functions.text import clip
 from moodline.operators import batches, delivery, lexicon, messages, packets, sampling, scoring
+from moodline.operators.ordered import stored
 from moodline.plans import adapters, flows
 from moodline.schemas import METRICS
 from moodline.session import new_shared_path
 from moodline.sources import files
-from moodline.streaming import feed, monitor, progress
+from moodline.streaming import epochs, feed, live_batches, live_log, monitor
 from moodline.streaming import full_batches as full_batches_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,8 @@ SAMPLE_SEED = 7
 SMALL_CHUNK = 50
 CAP_OF_TEST = 2
 RATE_WINDOW_OF_TEST_S = 3600
+# Micro-batches of the registered live streams.
+TURNS = 3
 
 
 def _time(column: str) -> Column:
@@ -375,6 +378,10 @@ def connection_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.connection_history(adapters.log(spark, sf_dir))
 
 
+def shown_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery.shown_history(adapters.log(spark, sf_dir))
+
+
 def average_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.average_rate(adapters.log(spark, sf_dir))
 
@@ -450,10 +457,95 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _result_columns(_run(spark, _score_lines(spark, _line_stream(spark, sf_dir)), "scores"))
 
 
-def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = _score_lines(spark, _line_stream(spark, sf_dir))
-    timed = results.withColumn("event_time", F.try_to_timestamp("timestamp"))
-    return _run(spark, progress.batch_progress(timed, idle_minutes=None), "batches")
+def _turn(df: DataFrame, value: Column, turns: int) -> Column:
+    """The share of the range of ``value`` that a row lies in, 0 … ``turns`` - 1; 0 without a value."""
+    ends = df.agg(F.min(value).alias("least"), F.max(value).alias("greatest")).first()
+    width = ((ends["greatest"] or 0) - (ends["least"] or 0) + 1) / turns
+    return F.coalesce(F.floor((value - F.lit(ends["least"] or 0)) / F.lit(width)).cast("int"), F.lit(0))
+
+
+def _run_turns(spark: SparkSession, df: DataFrame, turn: Column, turns: int, step: epochs.Step, prepare: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Let ``df`` arrive in several turns, each a micro-batch that goes on from the checkpoint of the one before."""
+    source, out, checkpoint = (new_shared_path(spark, label) for label in ("arriving", "live", "checkpoint"))
+    for k in range(turns):
+        df.filter(turn == k).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        epochs.start_epochs(prepare(stream) if prepare else stream, step, out, checkpoint).awaitTermination()
+    return out
+
+
+def _scored_stream(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    return lambda lines: _score_lines(spark, lines.drop("doc_id")).withColumn("event_time", F.try_to_timestamp("timestamp"))
+
+
+def stream_batches(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    lines = adapters.lines(spark, sf_dir)
+    turn = _turn(adapters.table(spark, sf_dir, "documents"), F.col("doc_id"), turns)
+    out = _run_turns(spark, lines, turn, turns, live_batches.batch_step(), _scored_stream(spark))
+    return epochs.read_finished(spark, out, "batches").drop("epoch")
+
+
+def stream_batches_shuffled(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    """Results that arrive in no order: the reorder buffer gives the batches of the batch form."""
+    results = _received_in_order(spark, sf_dir)
+    turn = F.pmod(F.xxhash64("client", "seq"), F.lit(turns))
+    step = live_batches.in_order(live_batches.batch_step(), patience=turns + 1)
+    out = _run_turns(spark, results, turn, turns, step)
+    return epochs.read_finished(spark, out, "batches").drop("epoch")
+
+
+def _received_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored results of the wire lines, numbered from 1 in every client."""
+    scored = _scored_stream(spark)(adapters.lines(spark, sf_dir))
+    within = Window.partitionBy("client").orderBy("seq")
+    columns = ["client", "compound_score", "compound_sentiment", "processing_time", "event_time"]
+    return stored(scored.select(*columns, F.row_number().over(within).cast("bigint").alias("seq")), "received")
+
+
+def _live_log(spark: SparkSession, sf_dir: str, step: epochs.Step, turns: int) -> str:
+    log = adapters.log(spark, sf_dir)
+    return _run_turns(spark, log, _turn(log, F.unix_micros("event_time"), turns), turns, step)
+
+
+def stream_sessions(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    return live_log.finished_sessions(spark, _live_log(spark, sf_dir, live_log.session_step(), turns))
+
+
+def stream_client_stats(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    stats = live_log.client_stats(spark, _live_log(spark, sf_dir, live_log.session_step(), turns))
+    return stats.select("client", "session", "sent", _time("connected_at"), _time("last_sent_at"), "connected_s", "status")
+
+
+def stream_trailing_rate(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    rates = live_log.trailing_rates(spark, _live_log(spark, sf_dir, live_log.trailing_rate_step(), turns))
+    return rates.select("seq", "sends", "sends_capped")
+
+
+def stream_trailing_rate_hour(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    """A longer window, and sends that are rated an hour late."""
+    step = live_log.trailing_rate_step(RATE_WINDOW_OF_TEST_S, 5, lateness_s=3600)
+    rates = live_log.trailing_rates(spark, _live_log(spark, sf_dir, step, turns), RATE_WINDOW_OF_TEST_S, 5)
+    return rates.select("seq", "sends", "sends_capped")
+
+
+def stream_connection_history(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    return live_log.connection_history(spark, _live_log(spark, sf_dir, live_log.history_step(), turns))
+
+
+def stream_snapshot(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    """One stored stream, four steps: the status row comes with sessions, rates and history."""
+    step = epochs.combined(
+        live_log.snapshot_step(adapters.clean(spark, sf_dir)), live_log.session_step(), live_log.trailing_rate_step(), live_log.history_step()
+    )
+    return live_log.status_snapshot(spark, _live_log(spark, sf_dir, step, turns))
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+    """Finished sessions of a stream whose epochs have been brought together."""
+    out = _live_log(spark, sf_dir, live_log.session_step(), turns)
+    epochs.compact(spark, out)
+    epochs.remove_compacted(spark, out)
+    return live_log.finished_sessions(spark, out)
 
 
 def _stream_full(spark: SparkSession, sf_dir: str) -> str:
@@ -545,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "client_stats": client_stats,
     "session_durations": session_durations,
     "connection_history": connection_history,
+    "shown_history": shown_history,
     "average_rate": average_rate,
     "session_cap": session_cap,
     "status_snapshot": status_snapshot,
@@ -552,6 +645,14 @@ QUERIES: dict[str, Query] = {
     "serve_and_analyse": serve_and_analyse,
     "stream_scores": stream_scores,
     "stream_batches": stream_batches,
+    "stream_batches_shuffled": stream_batches_shuffled,
+    "stream_sessions": stream_sessions,
+    "stream_client_stats": stream_client_stats,
+    "stream_trailing_rate": stream_trailing_rate,
+    "stream_trailing_rate_hour": stream_trailing_rate_hour,
+    "stream_connection_history": stream_connection_history,
+    "stream_snapshot": stream_snapshot,
+    "stream_compacted": stream_compacted,
     "stream_full_batches": stream_full_batches,
     "stream_all_batches": stream_all_batches,
     "stream_label_counts": stream_label_counts,

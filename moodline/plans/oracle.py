@@ -422,6 +422,12 @@ SELECT * FROM summary""",
 SELECT s.*, e.total, e.positive_count AS positive_total, e.negative_count AS negative_total,
        e.neutral_count AS neutral_total, recent_mean_processing_ms, recent_mean_compound,
        {_symbols('last_labels')} AS recent_symbols
+FROM summary s JOIN ends e ON s.client = e.client AND s.batch_id = e.batch_id""",
+    "stream_rejects": "SELECT count(*) AS bad_lines FROM documents WHERE doc_id % 50 = 2",
+    "batch_reports": f"""WITH {_RESULTS}, {_SUMMARY}, {_RUNNING}
+SELECT s.*, e.total, e.positive_count AS positive_total, e.negative_count AS negative_total,
+       e.neutral_count AS neutral_total, recent_mean_processing_ms, recent_mean_compound,
+       {_symbols('last_labels')} AS recent_symbols
 FROM summary s JOIN ends e ON s.client = e.client AND s.batch_id = e.batch_id""",
     "stream_label_counts": f"""WITH {_RECEIVED_RESULTS}
 SELECT compound_sentiment AS label, count(*) AS results FROM results GROUP BY 1""",
@@ -470,6 +476,11 @@ _SAME = {
     "results_csv": "received_results",
     "received_from_files": "received_results",
     "full_batches_file": "full_batches",
+    "full_batches_ranges": "full_batches",
+    "batch_reports_chunked": "batch_reports",
+    "sql_labels": "label_boundaries",
+    "sql_batch_summary": "batch_summary",
+    "sql_session_durations": "session_durations",
     "stream_batches_shuffled": "stream_batches",
     "stream_sessions": "session_durations",
     "stream_client_stats": "client_stats",

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moodline import sql
 from moodline.functions import report
 from moodline.functions.labels import label_compound, label_polarity, trend_label
 from moodline.functions.text import clip
-from moodline.operators import batches, delivery, lexicon, messages, packets, sampling, scoring
+from moodline.operators import batches, delivery, lexicon, messages, packets, reports, sampling, scoring
 from moodline.operators.ordered import stored
 from moodline.plans import adapters, flows
 from moodline.schemas import METRICS
@@ -30,6 +31,7 @@ CAP_OF_TEST = 2
 RATE_WINDOW_OF_TEST_S = 3600
 # Micro-batches of the registered live streams.
 TURNS = 3
+BATCH_TURNS = 2
 
 
 def _time(column: str) -> Column:
@@ -263,6 +265,58 @@ def full_batches_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(path).select("client", "batch_id", "seq", "compound_score", "compound_sentiment")
 
 
+def full_batches_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete batches in folders by range; writing the same results again replaces them."""
+    path = new_shared_path(spark, "batch-ranges")
+    results = stored(adapters.results(spark, sf_dir), "results")
+    for _ in range(2):
+        files.write_batch_ranges(results, path, batches_per_folder=5)
+    schema = results.schema.add("batch_id", T.LongType()).add("batch_range", T.LongType())
+    return spark.read.schema(schema).json(path).select("client", "batch_id", "seq", "compound_score", "compound_sentiment")
+
+
+def batch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.batch_reports(adapters.results(spark, sf_dir))
+
+
+def batch_reports_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.batch_reports(adapters.results(spark, sf_dir), chunk_rows=SMALL_CHUNK)
+
+
+# -- the same in Spark SQL, over views and functions of the session ---------------------
+
+
+def sql_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql.register_functions(spark)
+    adapters.table(spark, sf_dir, "documents").createOrReplaceTempView("moodline_documents")
+    return spark.sql("""
+SELECT doc_id, compound_label(x) AS compound_sentiment, polarity_label(x) AS polarity_sentiment, trend_label(x) AS trend
+FROM (SELECT doc_id, (doc_id % 401 - 200) / 2000D AS x FROM moodline_documents)""")
+
+
+def sql_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql.register_functions(spark)
+    sql.register_results(spark, adapters.results(spark, sf_dir), "moodline_")
+    return spark.sql("""
+WITH sums AS (
+  SELECT client, batch_id, count(*) AS batch_size, count_if(compound_sentiment = 'positive') AS positive_count,
+         count_if(compound_sentiment = 'negative') AS negative_count, count_if(compound_sentiment = 'neutral') AS neutral_count,
+         sum(CAST(round(compound_score * 10000) AS BIGINT)) / count(*) / 10000D AS mean_compound,
+         sum(CAST(round(processing_time * 1000000) AS BIGINT)) / count(processing_time) / 1000D AS mean_processing_ms,
+         (unix_micros(max(event_time)) - unix_micros(min(event_time))) / 1000000D AS duration_s
+  FROM moodline_results GROUP BY client, batch_id)
+SELECT *, positive_count / batch_size * 100 AS positive_pct, negative_count / batch_size * 100 AS negative_pct,
+       neutral_count / batch_size * 100 AS neutral_pct, trend_label(mean_compound) AS trend
+FROM sums""")
+
+
+def sql_session_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sql.register_log(spark, adapters.log(spark, sf_dir), "moodline_")
+    return spark.sql("""
+SELECT client, session, sent, (unix_micros(disconnected_at) - unix_micros(connected_at)) / 1000000D AS duration_s
+FROM moodline_sessions WHERE disconnected_at IS NOT NULL""")
+
+
 def received_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wire lines stored as text and read back, then received and scored."""
     path = new_shared_path(spark, "wire")
@@ -478,7 +532,7 @@ def _scored_stream(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
     return lambda lines: _score_lines(spark, lines.drop("doc_id")).withColumn("event_time", F.try_to_timestamp("timestamp"))
 
 
-def stream_batches(spark: SparkSession, sf_dir: str, turns: int = TURNS) -> DataFrame:
+def stream_batches(spark: SparkSession, sf_dir: str, turns: int = BATCH_TURNS) -> DataFrame:
     lines = adapters.lines(spark, sf_dir)
     turn = _turn(adapters.table(spark, sf_dir, "documents"), F.col("doc_id"), turns)
     out = _run_turns(spark, lines, turn, turns, live_batches.batch_step(), _scored_stream(spark))
@@ -567,6 +621,13 @@ def stream_all_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.summarise_batches(rows)
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a packet stream that cannot be decoded, stored and counted."""
+    out = new_shared_path(spark, "rejects")
+    feed.start_rejects(_line_stream(spark, sf_dir), out, new_shared_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("bad_lines"))
+
+
 def stream_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _score_lines(spark, _line_stream(spark, sf_dir))
     return _run_complete(spark, monitor.live_label_counts(results), "labels")
@@ -619,6 +680,12 @@ QUERIES: dict[str, Query] = {
     "results_json": results_json,
     "results_csv": results_csv,
     "full_batches_file": full_batches_file,
+    "full_batches_ranges": full_batches_ranges,
+    "batch_reports": batch_reports,
+    "batch_reports_chunked": batch_reports_chunked,
+    "sql_labels": sql_labels,
+    "sql_batch_summary": sql_batch_summary,
+    "sql_session_durations": sql_session_durations,
     "received_from_files": received_from_files,
     "final_sentiment_by_client": final_sentiment_by_client,
     "recent_trend": recent_trend,
@@ -655,6 +722,7 @@ QUERIES: dict[str, Query] = {
     "stream_compacted": stream_compacted,
     "stream_full_batches": stream_full_batches,
     "stream_all_batches": stream_all_batches,
+    "stream_rejects": stream_rejects,
     "stream_label_counts": stream_label_counts,
     "stream_sends_per_minute": stream_sends_per_minute,
     "stream_status": stream_status,

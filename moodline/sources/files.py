@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from moodline.operators.batches import full_batches
 from moodline.schemas import MESSAGE
@@ -67,3 +68,16 @@ def write_full_batches(results: DataFrame, path: str, mode: str = "error") -> No
     client would make one for every ten messages.
     """
     full_batches(results).write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
+def write_batch_ranges(results: DataFrame, path: str, batches_per_folder: int = 1000) -> None:
+    """Complete batches in a folder for each range of batch numbers (``batch_range``).
+
+    Writing again replaces the folders that ``results`` has batches for and no others, so
+    a rerun over some clients' later results does not need the earlier ones. Readers that
+    filter by ``batch_range`` read its folders only.
+    """
+    wide = full_batches(results)
+    folder = F.call_function("div", F.col("batch_id") - 1, F.lit(batches_per_folder).cast("bigint"))
+    options = {"partitionOverwriteMode": "dynamic", "ignoreNullFields": False}
+    wide.withColumn("batch_range", folder).write.mode("overwrite").options(**options).partitionBy("batch_range").json(path)

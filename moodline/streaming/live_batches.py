@@ -12,142 +12,50 @@ not follow ``seq``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from moodline.functions.labels import NEGATIVE, NEUTRAL, POSITIVE, trend_label
-from moodline.functions.report import ARROW, seconds_between, symbol
-from moodline.operators.batches import (
-    BATCH_SIZE,
-    SCORE_HISTORY,
-    TIME_HISTORY,
-    TREND_LENGTH,
-    is_label,
-    is_other,
-    label_counts,
-    last_n,
-    mean_millis,
-    mean_score,
-    percentages,
-    score_steps,
-    time_micros,
-)
+from moodline.operators.batches import BATCH_SIZE, TIME_HISTORY, last_n
 from moodline.operators.ordered import CHUNK_ROWS, running_values
+from moodline.operators.reports import RESULT_COLUMNS, SUMS, completed_batches, report_steps, reported
 from moodline.streaming.epochs import Keep, Step, Tables, read_carried
 
 _RESULT = "client string, seq bigint, compound_score double, compound_sentiment string, processing_time double, event_time timestamp"
-_RESULT_COLUMNS = ["client", "seq", "compound_score", "compound_sentiment", "processing_time", "event_time"]
-_SUMS = ["positive", "negative", "neutral", "steps", "micros", "timed"]
-_ENDS = "client string, at bigint, " + ", ".join(f"{name} bigint" for name in _SUMS)
-
-
-def _steps() -> dict[str, Column]:
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    flag = lambda condition: F.when(condition, one).otherwise(none)
-    return {
-        "arrival": one,
-        "positive": flag(is_label(POSITIVE)),
-        "negative": flag(is_label(NEGATIVE)),
-        "neutral": flag(is_other()),
-        "steps": F.coalesce(score_steps(), none),
-        "micros": F.coalesce(time_micros(), none),
-        "timed": flag(F.col("processing_time").isNotNull()),
-    }
-
-
-def _completed(numbered: DataFrame) -> DataFrame:
-    """Full batches of numbered rows: their summary, running sums at their end, and last labels."""
-    place = (F.col("arrival") - 1) % BATCH_SIZE + 1
-    local = F.call_function("div", F.col("arrival") - 1, F.lit(BATCH_SIZE).cast("bigint")) + 1
-    label = F.when(is_label(POSITIVE), POSITIVE).when(is_label(NEGATIVE), NEGATIVE).otherwise(NEUTRAL)
-    last = F.when(place > BATCH_SIZE - TREND_LENGTH, F.struct(place.alias("place"), symbol(label).alias("symbol")))
-    grouped = numbered.groupBy("client", local.alias("local")).agg(
-        F.count(F.lit(1)).alias("batch_size"),
-        *label_counts(),
-        F.sum(score_steps()).alias("_steps"),
-        F.sum(time_micros()).alias("_micros"),
-        F.count("processing_time").alias("_timed"),
-        seconds_between(F.min("event_time"), F.max("event_time")).alias("duration_s"),
-        F.array_sort(F.collect_list(last)).alias("_last"),
-        *[F.max(name).alias(name) for name in ("positive", "negative", "neutral", "timed")],
-        # these may fall from row to row
-        *[F.max_by(name, F.col("arrival")).alias(name) for name in ("steps", "micros")],
-    )
-    return grouped.filter(F.col("batch_size") == BATCH_SIZE)
+_ENDS = "client string, at bigint, " + ", ".join(f"{name} bigint" for name in SUMS)
 
 
 def batch_step(chunk_rows: int = CHUNK_ROWS) -> Step:
     """Results ``batches``. Rows of a client follow the micro-batches and, within one, ``seq``."""
 
     def run(batch: DataFrame, before: Tables, keep: Keep) -> tuple[Tables, Tables]:
-        fresh = batch.select(*_RESULT_COLUMNS).withColumn("place", F.coalesce("seq", F.lit(0).cast("bigint"))).withColumn("fresh", F.lit(1))
+        fresh = batch.select(*RESULT_COLUMNS).withColumn("place", F.coalesce("seq", F.lit(0).cast("bigint"))).withColumn("fresh", F.lit(1))
         rows = fresh.unionByName(before["open_results"].withColumn("fresh", F.lit(0)))
-        numbered = keep(running_values(keep(rows, "results"), ["client"], ["fresh", "place"], _steps(), chunk_rows=chunk_rows), "numbered")
+        numbered = keep(running_values(rows, ["client"], ["fresh", "place"], report_steps(), chunk_rows=chunk_rows), "numbered")
 
         ends = before["batch_ends"]
-        base = ends.groupBy("client").agg(F.max_by(F.struct("at", *_SUMS), F.col("at")).alias("base"))
-        full = _completed(numbered).join(base, "client", "left")
+        base = ends.groupBy("client").agg(F.max_by(F.struct("at", *SUMS), F.col("at")).alias("base"))
+        full = completed_batches(numbered).join(base, "client", "left")
         known = lambda name: F.coalesce(F.col(f"base.{name}"), F.lit(0))
         done = keep(
             full.withColumns(
-                {"at": F.col("local") * BATCH_SIZE + known("at")} | {name: F.col(name) + known(name) for name in _SUMS}
+                {"at": F.col("local") * BATCH_SIZE + known("at")} | {name: F.col(name) + known(name) for name in SUMS}
             ).drop("base"),
             "completed",
         )
-        all_ends = ends.unionByName(done.select("client", "at", *_SUMS))
-        results = _reported(done, all_ends)
+        all_ends = ends.unionByName(done.select("client", "at", *SUMS))
+        results = reported(done, all_ends)
 
         last = all_ends.groupBy("client").agg(F.max("at").alias("_last"))
         recent = all_ends.join(last, "client").filter(F.col("at") > F.col("_last") - TIME_HISTORY).drop("_last")
         tail = last_n(numbered, BATCH_SIZE - 1, ["arrival"], ["client"])
         total = F.max("arrival").over(Window.partitionBy("client"))  # nine rows of a client at most
         left = tail.withColumn("_total", total).filter(F.col("arrival") > F.col("_total") - F.col("_total") % BATCH_SIZE)
-        waiting = left.select(*_RESULT_COLUMNS, ((F.col("arrival") - 1) % BATCH_SIZE + 1).alias("place"))
+        waiting = left.select(*RESULT_COLUMNS, ((F.col("arrival") - 1) % BATCH_SIZE + 1).alias("place"))
         return {"batches": results}, {"open_results": waiting, "batch_ends": recent}
 
     return Step({"open_results": _RESULT + ", place bigint", "batch_ends": _ENDS}, run)
 
 
-def _reported(done: DataFrame, ends: DataFrame) -> DataFrame:
-    """The rows of completed batches with their recent means: sums at their end less those at an earlier end."""
-    marks = F.array(
-        F.struct(F.lit(0).alias("shift"), F.lit(0).alias("kind")),
-        F.struct(F.lit(SCORE_HISTORY).alias("shift"), F.lit(1).alias("kind")),
-        F.struct(F.lit(TIME_HISTORY).alias("shift"), F.lit(2).alias("kind")),
-    )
-    at = lambda kind, name: F.coalesce(F.max(F.when(F.col("m.kind") == kind, F.col(name))), F.lit(0))
-    merged = (
-        ends.withColumn("m", F.explode(marks))
-        .groupBy("client", (F.col("at") + F.col("m.shift")).alias("at"))
-        .agg(
-            (at(0, "steps") - at(1, "steps")).alias("recent_steps"),
-            (at(0, "micros") - at(2, "micros")).alias("recent_micros"),
-            (at(0, "timed") - at(2, "timed")).alias("recent_timed"),
-        )
-    )
-    rows = done.join(merged, ["client", "at"])
-    mean = mean_score(F.col("_steps"), F.col("batch_size"))
-    recent = mean_score(F.col("recent_steps"), F.least(F.col("at"), F.lit(SCORE_HISTORY)))
-    return rows.select(
-        "client",
-        F.call_function("div", F.col("at"), F.lit(BATCH_SIZE).cast("bigint")).alias("batch_id"),
-        "batch_size",
-        "positive_count",
-        "negative_count",
-        "neutral_count",
-        *percentages("batch_size"),
-        mean.alias("mean_compound"),
-        mean_millis(F.col("_micros"), F.col("_timed")).alias("mean_processing_ms"),
-        "duration_s",
-        trend_label(mean).alias("trend"),
-        F.col("at").alias("total"),
-        *[F.col(name).alias(f"{name}_total") for name in ("positive", "negative", "neutral")],
-        mean_millis(F.col("recent_micros"), F.col("recent_timed")).alias("recent_mean_processing_ms"),
-        recent.alias("recent_mean_compound"),
-        F.array_join(F.transform("_last", lambda r: r["symbol"]), ARROW).alias("recent_symbols"),
-    )
-
-
 def open_results(spark: SparkSession, path: str) -> DataFrame:
     """The results of every client's open batch, fewer than ten."""
     return read_carried(spark, path, "open_results")
@@ -169,11 +77,11 @@ def in_order(step: Step, first: int = 1, patience: int = 3, chunk_rows: int = CH
 
     def run(batch: DataFrame, before: Tables, keep: Keep) -> tuple[Tables, Tables]:
         epoch = before["turns"].agg(F.max("n").alias("n")).first()["n"] or 0
-        fresh = batch.select(*_RESULT_COLUMNS)
+        fresh = batch.select(*RESULT_COLUMNS)
         named = F.col("client").isNotNull() & F.col("seq").isNotNull()
         pool = fresh.filter(named).withColumn("since", F.lit(epoch).cast("bigint")).unionByName(before["early"])
         # of rows with one number the one that came first stays
-        twins = Window.partitionBy("client", "seq").orderBy("since", F.xxhash64(*_RESULT_COLUMNS))
+        twins = Window.partitionBy("client", "seq").orderBy("since", F.xxhash64(*RESULT_COLUMNS))
         pool = pool.withColumn("_twin", F.row_number().over(twins)).join(before["expected"], "client", "left")
         next_seq = F.coalesce("expected", F.lit(first).cast("bigint"))
         passed = (F.col("seq") < next_seq) | (F.col("_twin") > 1)
@@ -193,13 +101,13 @@ def in_order(step: Step, first: int = 1, patience: int = 3, chunk_rows: int = CH
         released = ready.filter("ready")
         ended = released.groupBy("client").agg((F.max("seq") + 1).alias("reached"))
         expected = before["expected"].join(ended, "client", "full").select("client", F.coalesce("reached", "expected").alias("expected"))
-        results, carried = step.run(released.select(*_RESULT_COLUMNS), {name: before[name] for name in step.carried}, keep)
-        late = judged.filter("_late").select(*_RESULT_COLUMNS).unionByName(fresh.filter(~named))
+        results, carried = step.run(released.select(*RESULT_COLUMNS), {name: before[name] for name in step.carried}, keep)
+        late = judged.filter("_late").select(*RESULT_COLUMNS).unionByName(fresh.filter(~named))
         return (
             {**results, "late_results": late},
             {
                 **carried,
-                "early": ready.filter("NOT ready").select(*_RESULT_COLUMNS, "since"),
+                "early": ready.filter("NOT ready").select(*RESULT_COLUMNS, "since"),
                 "expected": expected,
                 "turns": batch.sparkSession.createDataFrame([(epoch + 1,)], "n bigint"),
             },

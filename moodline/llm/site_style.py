@@ -8,10 +8,14 @@ of low importance are taken out of every page of the host, and blocks that are l
 give the text.
 
 What tags and names say goes before what is counted: menus, page headers, footers, asides,
-forms, adverts, notices and reader comments are unimportant wherever they are; an
-``article`` or ``main`` is important, and if a page has one, nothing outside it
-is text. Inside it only named branches can be found unimportant, never its plain
-paragraphs, so that an article that many pages copy stays.
+adverts, notices and reader comments are unimportant wherever they are; an ``article`` or
+``main`` is important, and if a page has one, nothing outside it is text, save an element
+named as content that holds more than twice as much. Inside it only named branches can be
+found unimportant, never its plain paragraphs. A name speaks of its own element by whole
+words, not of an ``article`` or ``main``, and not where it says that the page has or has
+no such part. What a name or a form's tag says of an element around most of the text, and
+what counts say of a branch that holds half of it or more, does not hold: an article that
+many pages copy stays, and so does a page inside one form.
 
 Statistics are counts per (host, node, feature), summed before they are shuffled; a
 host with a third of all pages is many rows with different keys. Only the unimportant
@@ -19,7 +23,8 @@ nodes of a host meet its pages again.
 
 Defined results: a NULL or empty page, and one without text, gives an empty text; a
 NULL url counts as a host of its own; repeated rows give repeated results; further
-columns do not matter. Markup is read to its end whatever is unclosed in it.
+columns do not matter; an empty table gives no rows. Markup of any length is read to its
+end whatever is unclosed in it; elements nested deeper than DEPTH count to the one there.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -54,44 +59,83 @@ BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
     "blockquote pre figure figcaption header footer nav aside form fieldset address details summary hr".split()
 )
-NOISE_TAGS = frozenset("nav footer aside form button dialog menu head fieldset label noscript template svg math select object".split())
+# What these hold is never main text.
+NOISE_TAGS = frozenset("nav footer aside button dialog menu head fieldset label noscript template svg math select object".split())
+# A form may also be wrapped around a whole page.
+WEAK_TAGS = frozenset(("form",))
+COMMENT_NAMES = frozenset("comment comments commentlist respond replies disqus".split())
+# Parts of a name that say noise wherever they stand in it, and those that say so only as all or the first of it.
 NOISE_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside ad ads adv advert adverts advertisement sponsor "
-    "sponsored promo promotion banner notice cookie cookies consent gdpr alert popup modal overlay newsletter subscribe signup login "
-    "search searchbox share sharing social related recommended comment comments commentlist respond replies disqus widget pagination "
-    "pager toolbar skip complementary contentinfo dialog form copyright legal disclaimer".split()
+    "sponsored cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login searchbox pagination pager toolbar "
+    "complementary contentinfo".split()
 )
+FIRST_NAMES = frozenset(
+    "promo promotion banner notice alert search share sharing social related recommended widget skip dialog form copyright legal disclaimer".split()
+)
+# "has-sidebar" speaks of the page and not of the element.
+ABOUT_OTHERS = frozenset("has no not with without".split())
+# A name must be all noise to speak of one of these.
+CONTENT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td th li dt dd figcaption caption span a b i em strong small u font".split())
+CONTENT_NAMES = frozenset("content main article post entry story".split())
 LANDMARKS = frozenset(("article", "main"))
+WEAK, STRONG = 1, 2
 # An element's start closes these open ones, as their end tags may be left out.
 IMPLIED = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]{0,60}+)")
 _PLAIN = re.compile(r"[^<>\"']*+")
 _ANY = re.compile(r"<[/!?][^<>]*+>")
-# Quoted values of other attributes are passed over as a whole.
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?|\"[^\"]*+\"|'[^']*+'")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
 
 
+def _says(name: str, tag: str) -> int:
+    """What one class, id or role says of an element: 0 nothing, WEAK or STRONG that it is noise."""
+    parts = [x.lower() for x in _PART.findall(name)]
+    if not parts or parts[0] in ABOUT_OTHERS:
+        return 0
+    if parts[0] in COMMENT_NAMES and (len(parts) == 1 or tag not in CONTENT_TAGS):
+        return STRONG
+    if tag in LANDMARKS:
+        return 0
+    if tag in CONTENT_TAGS:
+        return WEAK if len(parts) == 1 and (parts[0] in NOISE_NAMES or parts[0] in FIRST_NAMES) else 0
+    return WEAK if parts[0] in FIRST_NAMES or not NOISE_NAMES.isdisjoint(parts) else 0
+
+
 class Node:
-    """An open element: its tag, the hash of its path, and what its tag and names say."""
+    """An open element: its tag, the hash of its path, and what its tag and names say.
 
-    __slots__ = ("tag", "path", "noise", "landmark", "named", "children")
+    ``noise`` holds when the page is read, see ``page_of``.
+    """
+
+    __slots__ = ("tag", "path", "mark", "noise", "landmark", "soft", "named", "children", "parent", "chars", "main_chars")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None) -> None:
-        found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attributes) if m[1]} if attributes.strip() else {}
-        names = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()
-        key = f"{tag}.{_DIGITS.sub('', names).strip()}"
+        found: dict[str, str] = {}
+        if attributes and not attributes.isspace():
+            for m in _ATTR.finditer(attributes):
+                if m[1]:
+                    found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        names = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".split()
+        key = f"{tag}.{_DIGITS.sub('', ' '.join(names).lower())}"
         inside = bool(parent and parent.landmark)
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-        words = set(_NAME.findall(names))
-        header = tag == "header" and not inside
         self.tag = tag
+        self.parent = parent
         self.path = xxhash.xxh3_64_intdigest(key, parent.path if parent else 0) >> 1
-        self.noise = bool(parent and parent.noise) or tag in NOISE_TAGS or header or hidden or bool(words & NOISE_NAMES and tag not in ("html", "body"))
+        self.mark = STRONG if tag in NOISE_TAGS or hidden or (tag == "header" and not inside) else WEAK if tag in WEAK_TAGS else 0
+        if names and self.mark < STRONG and tag not in ("html", "body"):
+            self.mark = max(self.mark, *(_says(name, tag) for name in names))
+        self.noise = False
         self.landmark = inside or tag in LANDMARKS or "main" in found.get("role", "").lower().split()
-        self.named = inside and bool(names.strip()) and tag not in LANDMARKS
+        own = bool(names) and tag not in CONTENT_TAGS and any(not CONTENT_NAMES.isdisjoint(x.lower() for x in _PART.findall(name)) for name in names)
+        self.soft = bool(parent and parent.soft) or (own and not self.mark and tag not in ("html", "body"))
+        self.named = inside and bool(names) and tag not in LANDMARKS
         self.children: list[str] = []
+        # Characters of text in the element, and of those the ones in an article or main.
+        self.chars = self.main_chars = 0
 
 
 def tag_end(html: str, at: int, dead: set[int]) -> int:
@@ -139,8 +183,7 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
         nonlocal place
         if not held:
             place = _block_level(stack)
-        noise = stack and stack[-1].noise and not (place and place[-1].noise)
-        held.append(" " if noise else part)
+        held.append(" " if any(n.mark for n in stack[len(place) :]) else part)
 
     def flush() -> Iterator[tuple[str, list[Node]]]:
         text = " ".join(unescape("".join(held)).split())
@@ -215,6 +258,33 @@ def walk(html: str) -> Iterator[tuple[str, list[Node]] | Node]:
     yield from reversed(stack)
 
 
+def page_of(html: str) -> tuple[list[tuple[str, list[Node]]], list[Node]]:
+    """Blocks and elements of a page, when it is known which elements are noise.
+
+    What a form's tag or a name says does not hold for an element around more than half
+    of the text that is left without tags of noise, unless an article stands outside it.
+    """
+    blocks, nodes = [], []
+    for item in walk(html):
+        (nodes if isinstance(item, Node) else blocks).append(item)
+    total = articles = 0
+    for text, place in blocks:
+        if any(n.mark == STRONG for n in place):
+            continue
+        size = len(text)
+        inside = size if place and place[-1].landmark else 0
+        total += size
+        articles += inside
+        for n in place:
+            n.chars += size
+            n.main_chars += inside
+    # Elements come when they close: a parent is after its children.
+    for n in reversed(nodes):
+        wraps = 2 * n.chars > total and n.main_chars == articles
+        n.noise = bool(n.parent and n.parent.noise) or n.mark == STRONG or (n.mark == WEAK and not wraps)
+    return blocks, nodes
+
+
 def _host() -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
@@ -227,15 +297,14 @@ def observations(pages: DataFrame) -> DataFrame:
             counts: Counter = Counter()
             for host, html in zip(*(c.to_pylist() for c in batch.columns)):
                 seen = set()
-                for item in walk(html or ""):
-                    if isinstance(item, Node):
-                        if not item.noise:
-                            style = " ".join(t for i, t in enumerate(item.children) if not i or t != item.children[i - 1])
-                            seen.add((item.path, 0, xxhash.xxh3_64_intdigest(style) >> 1))
-                    else:
-                        text, nodes = item
-                        feature = xxhash.xxh3_64_intdigest(text) >> 1
-                        seen.update((n.path, 1, feature) for n in nodes if not n.noise)
+                blocks, elements = page_of(html or "")
+                for item in elements:
+                    if not item.noise:
+                        style = " ".join(t for i, t in enumerate(item.children) if not i or t != item.children[i - 1])
+                        seen.add((item.path, 0, xxhash.xxh3_64_intdigest(style) >> 1))
+                for text, nodes in blocks:
+                    feature = xxhash.xxh3_64_intdigest(text) >> 1
+                    seen.update((n.path, 1, feature) for n in nodes if not n.noise)
                 counts.update((host, *x) for x in seen)
             keys = list(zip(*counts)) if counts else [[]] * 4
             yield pa.RecordBatch.from_arrays(
@@ -267,18 +336,37 @@ def importance(pages: DataFrame) -> DataFrame:
     return sums.where(F.col("pages") > 0).select("host", "path", "pages", F.greatest(F.lit(0.0), joined).alias("importance"))
 
 
+Blocks = list[tuple[str, list[Node]]]
+
+
+def _without_low(blocks: Blocks, low: frozenset[int], candidates: Callable[[Node], bool]) -> Blocks:
+    """The blocks outside unimportant branches; a branch that holds half of the text or more is none."""
+    held: Counter = Counter()
+    for text, nodes in blocks:
+        for n in nodes:
+            if n.path in low and candidates(n):
+                held[id(n)] += len(text)
+    total = sum(len(text) for text, _ in blocks)
+    gone = {n for n, size in held.items() if 2 * size < total}
+    return [(text, nodes) for text, nodes in blocks if not any(id(n) in gone for n in nodes)]
+
+
 def main_text(html: str, low: frozenset[int]) -> str:
     """The blocks of a page that are in no unimportant branch, joined by spaces."""
-    blocks = [x for x in walk(html) if not isinstance(x, Node)]
+    blocks, _ = page_of(html)
     kept = [(text, nodes) for text, nodes in blocks if not (nodes and nodes[-1].noise)]
     marked = [(text, nodes) for text, nodes in kept if nodes and nodes[-1].landmark]
     if marked:
-        chosen = [text for text, nodes in marked if not any(n.named and n.path in low for n in nodes)]
+        # An element named as content, beside an article much shorter than it, holds the text.
+        beside = [(text, nodes) for text, nodes in kept if nodes and nodes[-1].soft and not next(n for n in nodes if n.soft).main_chars]
+        if sum(len(text) for text, _ in beside) > 2 * sum(len(text) for text, _ in marked):
+            chosen = _without_low(beside, low, lambda n: n.tag not in ("html", "body"))
+        else:
+            chosen = _without_low(marked, low, lambda n: n.named)
     else:
-        chosen = [text for text, nodes in kept if not any(n.path in low and n.tag not in ("html", "body") for n in nodes)]
         # A site whose pages are all alike has no important node: the names decide alone.
-        chosen = chosen or [text for text, _ in kept]
-    return " ".join(chosen)
+        chosen = _without_low(kept, low, lambda n: n.tag not in ("html", "body"))
+    return " ".join(text for text, _ in chosen)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

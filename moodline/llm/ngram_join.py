@@ -365,4 +365,13 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Rows without ``doc_id`` stay, as they cannot be named; of rows that repeat a kept id one stays.
     """
     gone = linked(docs, k, percent).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    kept = docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    repeated = staged(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    # Rows of one id: the first by a hash of the text, then of all columns.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    order = F.struct(F.xxhash64("text"), F.xxhash64(*columns))
+    several = kept.join(repeated, "doc_id", "left_semi").select(*columns)
+    first = several.groupBy(F.col("doc_id").alias("id")).agg(F.min_by(F.struct(*columns), order).alias("row"))
+    return kept.join(repeated, "doc_id", "left_anti").select(*columns).union(first.select("row.*"))

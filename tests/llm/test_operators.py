@@ -139,7 +139,9 @@ def test_ngram_join_on_odd_tables(odd, none):
     assert ngram_join.linked(none, 3, 90).count() == 0
     kept = ngram_join.one_of_each(odd, 3, 90)
     assert kept.columns == odd.columns
-    assert {6, 7}.isdisjoint({r["doc_id"] for r in kept.collect()})
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert {6, 7}.isdisjoint(ids) and ids.count(5) == 1 and ids.count(11) == 1 and ids.count(None) == 2
+    assert ngram_join.one_of_each(none, 3, 90).count() == 0
 
 
 def test_components_of_a_long_path(spark):

@@ -1,21 +1,25 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search (operator 6).
 
 Equal vectors are one node. A forest of random projections cuts the nodes into small
-leaves; exact neighbours within the leaves are the first graph. NN-descent then goes
-over it in rounds of Spark joins: every node gathers its neighbours and a sample of
-the nodes that list it, compares them with each other where one of a pair is new, and
-hands each what it found; lists keep the DEGREE best. Rounds end when few entries
-change, after ROUNDS at most. Queries walk the graph greedily: each keeps the BEAM
-best nodes seen and expands the best ones not yet expanded, EXPAND a step. What the walk
-found is scored again on the original vectors in double precision.
-
-Nearness is the inner product. The graph and the walk see vectors rounded to eight bits
-a component, with a scale of their own, so that a vector moves in d + 4 bytes.
+leaves; neighbours within the leaves, and within groups drawn by hash so that no node is
+left alone, are the first graph. NN-descent then goes over it in rounds of Spark joins:
+every node gathers its neighbours and a sample of the nodes that list it, compares them
+with each other where one of a pair is new, and hands each what it found; lists keep
+the DEGREE best. Rounds end when few entries change, after ROUNDS at most.
+
+The graph is by Euclidean distance: its lists are mutual and do not all lead to the few
+longest vectors. Queries walk it greedily by inner product, which is linear, so that a
+step towards a larger one exists until the walk is near the largest. A query starts at
+itself, at LANDMARKS nodes drawn by hash and at as many of the longest, keeps the BEAM
+best nodes seen, and expands the best ones not yet expanded, EXPAND a step, until none
+is left. All that is in the beam is then scored on the original vectors in double
+precision. The graph and the walk see single precision.
 
 Defined results: vectors that are NULL, empty, all zero, or hold NULL or non-finite
 components take no part, nor do those whose length is not the most frequent one (the
 longer on a tie); of different vectors for one ``vec_id`` the smallest counts and repeated
 rows count once; rows without ``vec_id`` take no part; further columns do not matter.
+Ties go to the smaller ``vec_id``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,8 +49,8 @@ ENOUGH = 0.02
 LEAF = 400
 TREES = 4
 BEAM = 256
-EXPAND = 32
-STEPS = 6
+EXPAND = 64
+LANDMARKS = 128
 GRAPH = "u long, ids array<long>, scores array<float>, fresh array<boolean>"
 FOUND = "u long, ids array<long>, scores array<float>"
 
@@ -91,45 +95,52 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
-    """``u, q, scale``: one node per different vector, named by its smallest id, in eight bits."""
+    """``u, x, half``: one node per different vector, named by its smallest id, in single precision; half its squared length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, lengths = _flat(batch.column(1))
             x = values.reshape(len(lengths), -1) if len(lengths) else np.empty((0, 1))
-            scale = np.abs(x).max(axis=1, initial=0) / 127
-            q = np.rint(x / scale[:, None]).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in q], pa.binary()), pa.array(scale, pa.float64())], ["u", "q", "scale"])
+            half = (x * x).sum(axis=1) / 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x.astype(np.float32)], pa.binary()), pa.array(half, pa.float64())], ["u", "x", "half"])
+
+    return rows.mapInArrow(run, "u long, x binary, half double")
+
 
-    return rows.mapInArrow(run, "u long, q binary, scale double")
+def _matrix(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), dtype=np.float32).reshape(len(raw), -1)
 
 
-def _matrix(q, scales: np.ndarray) -> np.ndarray:
-    raw = np.frombuffer(b"".join(q), dtype=np.int8).reshape(len(scales), -1)
-    return raw.astype(np.float32) * np.asarray(scales, dtype=np.float32)[:, None]
+def _closeness(x: np.ndarray) -> np.ndarray:
+    """Half the squared distances of all pairs of rows, negative. Taken from their mean, so that near ones differ."""
+    y = x.astype(np.float64)
+    y -= y.mean(axis=0)
+    half = (y * y).sum(axis=1) / 2
+    return y @ y.T - half[:, None] - half[None, :]
 
 
 def _leaves(nodes: DataFrame, n: int, dimension: int) -> DataFrame:
-    """Exact neighbours within the leaves of a forest of random projections, in rows of FOUND."""
+    """Exact neighbours within the leaves of a forest of random projections and groups drawn by hash, in rows of FOUND."""
     bits = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
     planes = np.random.default_rng(11).standard_normal((TREES, dimension, max(1, bits))).astype(np.float32)
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1).to_pylist(), batch.column(2).to_numpy()) if len(batch) else np.empty((0, dimension), dtype=np.float32)
+            x = _matrix(batch.column(1).to_pylist()) if len(batch) else np.empty((0, dimension), dtype=np.float32)
             code = [((x @ p > 0) @ (1 << np.arange(max(1, bits), dtype=np.int64))) * (bits > 0) for p in planes]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * TREES), pa.array(np.stack(code, axis=1).astype(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["u", "q", "scale", "codes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["u", "x", "half", "codes"])
 
-    coded = staged(nodes.mapInArrow(codes, "u long, q binary, scale double, codes array<long>"), "codes")
-    each = coded.select("u", "q", "scale", F.posexplode("codes").alias("tree", "code"))
+    coded = staged(nodes.mapInArrow(codes, "u long, x binary, half double, codes array<long>"), "codes")
+    drawn = F.pmod(F.xxhash64("u"), F.lit(max(1, n // LEAF)))
+    each = coded.select("u", "x", F.posexplode(F.concat("codes", F.array(drawn))).alias("tree", "code"))
     sizes = each.groupBy("tree", "code").agg(F.count("*").alias("n"))
     # A leaf that is too large is dealt by hash into parts that are not.
     dealt = each.join(sizes, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("u", "tree"), F.ceil(F.col("n") / (2 * LEAF))))
 
     def exact(group: pd.DataFrame) -> pd.DataFrame:
-        x, ids = _matrix(group["q"], group["scale"].to_numpy()), group["u"].to_numpy()
-        s = x @ x.T
+        ids = group["u"].to_numpy()
+        s = _closeness(_matrix(group["x"].tolist()))
         np.fill_diagonal(s, -np.inf)
         k = min(DEGREE, len(ids) - 1)
         if k < 1:
@@ -137,7 +148,7 @@ def _leaves(nodes: DataFrame, n: int, dimension: int) -> DataFrame:
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
         return pd.DataFrame({"u": ids, "ids": list(ids[top]), "scores": list(np.take_along_axis(s, top, axis=1))})
 
-    return dealt.select("tree", "code", "part", "u", "q", "scale").groupBy("tree", "code", "part").applyInPandas(exact, FOUND)
+    return dealt.select("tree", "code", "part", "u", "x").groupBy("tree", "code", "part").applyInPandas(exact, FOUND)
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -167,7 +178,7 @@ def _descend(graph: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
     full = F.size("scores") >= DEGREE
     worst = graph.select("u", F.when(full, F.array_min("scores")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
     told = nodes.join(worst, "u")
-    met = ahead.union(back).join(told, "u").groupBy("v").agg(F.collect_list(F.struct("u", "q", "scale", "worst", "fresh")).alias("met"))
+    met = ahead.union(back).join(told, "u").groupBy("v").agg(F.collect_list(F.struct("u", "x", "worst", "fresh")).alias("met"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,14 +186,13 @@ def _descend(graph: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
             offsets = batch.column(1).offsets.to_numpy() - batch.column(1).offsets[0].as_py()
             u, worst = inner.field("u").to_numpy(), inner.field("worst").to_numpy()
             fresh = inner.field("fresh").to_numpy(zero_copy_only=False).astype(bool)
-            x = _matrix(inner.field("q").to_pylist(), inner.field("scale").to_numpy()) if len(u) else None
+            x = _matrix(inner.field("x").to_pylist()) if len(u) else None
             parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))]
             for lo, hi in zip(offsets[:-1], offsets[1:]):
                 names, at = np.unique(u[lo:hi], return_index=True)
                 new = np.zeros(len(names), dtype=bool)
                 np.logical_or.at(new, np.searchsorted(names, u[lo:hi]), fresh[lo:hi])
-                y = x[lo:hi][at]
-                s = y @ y.T
+                s = _closeness(x[lo:hi][at])
                 s[~(new[:, None] | new[None, :])] = -np.inf
                 np.fill_diagonal(s, -np.inf)
                 s[s <= worst[lo:hi][at][:, None]] = -np.inf
@@ -213,15 +223,27 @@ def neighbour_graph(nodes: DataFrame, n: int, dimension: int) -> DataFrame:
 
 def _walk(graph: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame:
     """``u, ids``: what greedy walks from the nodes of ``starts`` have as their BEAM best."""
-    targets = starts.join(nodes, "u").select(F.col("u").alias("t"), F.col("q").alias("tq"), F.col("scale").alias("ts"))
+    targets = starts.join(nodes, "u").select(F.col("u").alias("t"), F.col("x").alias("tx"))
     edges = graph.select("u", "ids")
-    beam = staged(graph.join(starts, "u").select(F.col("u").alias("t"), "ids", "scores", F.array(F.col("u")).alias("done"), F.col("ids").alias("seen")), "beam")
-    for _ in range(STEPS):
+    # At most 2 LANDMARKS ids, the same for all queries.
+    drawn = nodes.orderBy(F.xxhash64("u", F.lit(7)), "u").limit(LANDMARKS).select("u")
+    longest = nodes.orderBy(F.desc("half"), "u").limit(LANDMARKS).select("u")
+    landmarks = sorted({r["u"] for r in drawn.union(longest).collect()})
+    none = F.array().cast("array<long>")
+    beam = starts.select(F.col("u").alias("t"), none.alias("ids"), F.array().cast("array<double>").alias("scores"), none.alias("done"), none.alias("seen"))
+    begin = F.array_union(F.array("t"), F.lit(landmarks).cast("array<long>"))
+    while True:
         # The beam is sorted by score: the first ids that were not expanded are the best ones.
         chosen = beam.select("t", "seen", "done", F.slice(F.array_except("ids", "done"), 1, EXPAND).alias("go"))
-        reached = chosen.select("t", F.explode("go").alias("u")).join(edges, "u").groupBy("t").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("near"))
-        new = chosen.join(reached, "t", "left").select("t", F.explode(F.array_except(F.array_remove("near", F.col("t")), "seen")).alias("u"))
-        pairs = new.join(nodes, "u").groupBy("t").agg(F.collect_list(F.struct("u", "q", "scale")).alias("met"))
+        if begin is None and chosen.where(F.size("go") > 0).isEmpty():
+            return beam.select(F.col("t").alias("u"), "ids")
+        if begin is not None:
+            new = chosen.select("t", F.explode(begin).alias("u"))
+            begin = None
+        else:
+            reached = chosen.select("t", F.explode("go").alias("u")).join(edges, "u").groupBy("t").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("near"))
+            new = chosen.join(reached, "t").select("t", F.explode(F.array_except("near", "seen")).alias("u"))
+        pairs = new.join(nodes, "u").groupBy("t").agg(F.collect_list(F.struct("u", "x")).alias("met"))
         state = beam.join(chosen.select("t", "go"), "t").join(targets, "t").join(pairs, "t", "left")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,18 +252,17 @@ def _walk(graph: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame:
                 for r in batch.to_pylist():
                     ids, scores, met = r["ids"], r["scores"], r["met"] or []
                     if met:
-                        own = _matrix([r["tq"]], np.array([r["ts"]]))[0]
-                        s = _matrix([m["q"] for m in met], np.array([m["scale"] for m in met])) @ own
+                        own = _matrix([r["tx"]])[0].astype(np.float64)
+                        s = _matrix([m["x"] for m in met]) @ own
                         ids, scores = ids + [m["u"] for m in met], scores + s.tolist()
                     order = np.lexsort((np.array(ids), -np.array(scores)))[:BEAM]
                     rows.append((r["t"], [ids[i] for i in order], [scores[i] for i in order], r["done"] + r["go"], r["seen"] + [m["u"] for m in met]))
-                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
                 columns = zip(*rows) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["t", "ids", "scores", "done", "seen"])
 
-        schema = "t long, ids array<long>, scores array<float>, done array<long>, seen array<long>"
-        beam = staged(state.select("t", "ids", "scores", "done", "seen", "go", "tq", "ts", "met").mapInArrow(run, schema), "beam")
-    return beam.select(F.col("t").alias("u"), "ids")
+        schema = "t long, ids array<long>, scores array<double>, done array<long>, seen array<long>"
+        beam = staged(state.select("t", "ids", "scores", "done", "seen", "go", "tx", "met").mapInArrow(run, schema), "beam")
 
 
 def _product(a: str, b: str) -> F.Column:
@@ -260,8 +281,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = NEIGHBOURS) -> DataFram
     queries = rows.where(F.col("vec_id") % every == 0).select("h1", "h2", F.col("vec_id").alias("query_id")).join(classes.select("h1", "h2", "u"), ["h1", "h2"]).select("query_id", "u")
     starts = queries.select("u").distinct()
     walked = starts.join(_walk(graph, nodes, starts), "u", "left")
-    # The walk's order is by rounded vectors; twice as many as asked for are scored exactly.
-    near = F.concat(F.array("u"), F.slice(F.coalesce("ids", F.array().cast("array<long>")), 1, 2 * k))
+    near = F.array_union(F.array("u"), F.coalesce("ids", F.array().cast("array<long>")))
     pairs = walked.select("u", F.explode(near).alias("w"))
     exact = pairs.join(classes.select("u", F.col("embedding").alias("x")), "u").join(classes.select(F.col("u").alias("w"), F.col("embedding").alias("y"), "h1", "h2"), "w")
     scores = exact.select("u", "h1", "h2", _product("x", "y").alias("score"))

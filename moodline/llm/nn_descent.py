@@ -49,7 +49,7 @@ ENOUGH = 0.02
 LEAF = 400
 TREES = 4
 BEAM = 256
-EXPAND = 64
+EXPAND = 32
 LANDMARKS = 128
 GRAPH = "u long, ids array<long>, scores array<float>, fresh array<boolean>"
 FOUND = "u long, ids array<long>, scores array<float>"
@@ -186,13 +186,13 @@ def _descend(graph: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
             offsets = batch.column(1).offsets.to_numpy() - batch.column(1).offsets[0].as_py()
             u, worst = inner.field("u").to_numpy(), inner.field("worst").to_numpy()
             fresh = inner.field("fresh").to_numpy(zero_copy_only=False).astype(bool)
-            x = _matrix(inner.field("x").to_pylist()) if len(u) else None
+            x = inner.field("x")
             parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))]
             for lo, hi in zip(offsets[:-1], offsets[1:]):
                 names, at = np.unique(u[lo:hi], return_index=True)
                 new = np.zeros(len(names), dtype=bool)
                 np.logical_or.at(new, np.searchsorted(names, u[lo:hi]), fresh[lo:hi])
-                s = _closeness(x[lo:hi][at])
+                s = _closeness(_matrix(x.slice(lo, hi - lo).to_pylist())[at])
                 s[~(new[:, None] | new[None, :])] = -np.inf
                 np.fill_diagonal(s, -np.inf)
                 s[s <= worst[lo:hi][at][:, None]] = -np.inf
@@ -249,7 +249,8 @@ def _walk(graph: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows = []
-                for r in batch.to_pylist():
+                # one target at a time as Python objects
+                for r in (r for i in range(len(batch)) for r in batch.slice(i, 1).to_pylist()):
                     ids, scores, met = r["ids"], r["scores"], r["met"] or []
                     if met:
                         own = _matrix([r["tx"]])[0].astype(np.float64)

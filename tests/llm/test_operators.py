@@ -384,6 +384,43 @@ def test_cotraining_learns_and_survives(spark, medium_dir, odd, none):
     assert cotraining.scored(odd, few).where("kept").count() == odd.count() and cotraining.scored(none, few).count() == 0
 
 
+def test_confident_labels_are_handed_over_by_class_and_source(spark):
+    pick = random.Random(4)
+    rows = [(i, i % 3 if i % 50 else 7, [1.0], [1.0], pick.choice([None, None, 0.0, 1.0]), None, pick.uniform(-8, 8), pick.choice([-5.0, -2.0, 3.5, 3.6])) for i in range(400)]
+    names = ["doc_id", "bucket", "content", "page", "by_content", "by_page", "at_content", "at_page"]
+    pool = spark.createDataFrame(rows, "doc_id long, bucket int, content array<double>, page array<double>, by_content double, by_page double, at_content double, at_page double")
+    want, least = {}, {("content", 0.0): 14, ("content", 1.0): 0, ("page", 1.0): 0}
+    for view in ("content", "page"):
+        groups = defaultdict(list)
+        for r in (dict(zip(names, r)) for r in rows):
+            m = r[f"at_{view}"]
+            want[r["doc_id"], view] = r[f"by_{view}"]
+            if r[f"by_{view}"] is None and abs(m) >= np.log(0.95 / 0.05) and int(abs(m) * 4) >= least.get((view, float(m > 0)), 99):
+                groups[r["bucket"], m > 0].append((int(abs(m) * 4), r["doc_id"]))
+        for (_, good), found in groups.items():
+            least = sorted((level for level, _ in found), reverse=True)[(len(found) + 1) // 2 - 1]
+            want.update({(i, view): float(good) for level, i in found if level >= least})
+    got = {(r["doc_id"], v): r[f"by_{v}"] for r in cotraining.handed_over(pool, least).collect() for v in ("content", "page")}
+    assert got == want and sum(w is not None for w in want.values()) > 200
+    fold = spark.createDataFrame([(1.0, 6.0, 3.0)] * 40 + [(0.0, 4.0, -3.0)] * 4 + [(0.0, -9.0, 3.0)] * 4 + [(1.0, 3.5, -1.0)] * 60, "label double, at_content double, at_page double")
+    assert cotraining.trusted_levels(fold) == {("content", 1.0): 14} and cotraining.trusted_levels(fold.where("false")) == {}
+
+
+def test_every_unlabelled_document_may_take_part(spark, medium_dir, monkeypatch):
+    """With few labelled rows in sight the pool is still whole, and labels of earlier rounds stay."""
+    docs, labels = (spark.read.parquet(f"{medium_dir}/{t}.parquet") for t in ("documents", "labels"))
+    pools, step = [], cotraining.handed_over
+    monkeypatch.setattr(cotraining, "handed_over", lambda *given: pools.append(step(*given)) or pools[-1])
+    monkeypatch.setattr(cotraining, "TRAIN_ROWS", 100)
+    cotraining.scored(docs, labels)
+    free = docs.join(labels.where("quality IS NOT NULL"), "doc_id", "left_anti").count()
+    seen = [{(r["doc_id"], v): r[f"by_{v}"] for r in p.collect() for v in ("content", "page")} for p in pools]
+    assert len(seen) == cotraining.ROUNDS and all(len(s) == 2 * free for s in seen)
+    for before, after in zip(seen, seen[1:]):
+        assert all(after[k] == label for k, label in before.items() if label is not None)
+    assert sum(x is not None for x in seen[-1].values()) > sum(x is not None for x in seen[0].values()) > 0
+
+
 # --- pages
 
 

@@ -1,5 +1,6 @@
 """The operators for training data against plain versions, and on odd tables."""
 
+import gzip
 import random
 import re
 import zlib
@@ -398,8 +399,8 @@ def test_confident_labels_are_handed_over_by_class_and_source(spark):
             if r[f"by_{view}"] is None and abs(m) >= np.log(0.95 / 0.05) and int(abs(m) * 4) >= least.get((view, float(m > 0)), 99):
                 groups[r["bucket"], m > 0].append((int(abs(m) * 4), r["doc_id"]))
         for (_, good), found in groups.items():
-            least = sorted((level for level, _ in found), reverse=True)[(len(found) + 1) // 2 - 1]
-            want.update({(i, view): float(good) for level, i in found if level >= least})
+            cut = sorted((level for level, _ in found), reverse=True)[(len(found) + 1) // 2 - 1]
+            want.update({(i, view): float(good) for level, i in found if level >= cut})
     got = {(r["doc_id"], v): r[f"by_{v}"] for r in cotraining.handed_over(pool, least).collect() for v in ("content", "page")}
     assert got == want and sum(w is not None for w in want.values()) > 200
     fold = spark.createDataFrame([(1.0, 6.0, 3.0)] * 40 + [(0.0, 4.0, -3.0)] * 4 + [(0.0, -9.0, 3.0)] * 4 + [(1.0, 3.5, -1.0)] * 60, "label double, at_content double, at_page double")
@@ -505,8 +506,53 @@ def test_warc_round_trip(spark, tmp_path):
     texts = {r["page_id"]: r["block"] for r in got if r["warc_type"] == "conversion"}
     assert texts == {1: "one\ntwo <3", 2: "", 3: "", None: "é\U0001f600"}
     warc.write_records(made, str(tmp_path / "w"))
-    back = {(r["headers"], r["block"]) for r in warc.read_records(spark, str(tmp_path / "w")).collect()}
-    assert back == {(r["headers"], r["block"]) for r in got}
+    back = sorted((r["headers"], bytes(r["block"]).decode()) for r in warc.read_records(spark, str(tmp_path / "w")).collect())
+    assert back == sorted((r["headers"], r["block"]) for r in got)
+
+
+def response(head: str, payload: bytes, uri: str = "http://a.org") -> tuple[str, bytes]:
+    block = head.replace("\n", "\r\n").encode() + b"\r\n\r\n" + payload
+    return f"WARC/1.1\r\nwarc-type: response\r\nWARC-Record-ID: <urn:x:{uri}>\r\nWARC-Target-URI: {uri}\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nContent-Length: {len(block)}", block
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    start = b"x\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\ny"
+    cases = [
+        ("HTTP/1.1 200 OK\nContent-Type: text/html; charset=iso-8859-1", b"<p>caf\xe9</p>", "caf\xe9"),
+        ("HTTP/1.1 200 OK\nTransfer-Encoding: chunked\nContent-Type: text/html", b"2\r\nhi\r\n0\r\n\r\n", "hi"),
+        ("HTTP/1.1 200 OK\ncontent-type: TEXT/HTML;charset=\"windows-1251\"", "<b>\u0434\u0430".encode("cp1251"), "\u0434\u0430"),
+        ("HTTP/1.1 200 OK\nContent-Type: text/html", b"<meta charset=koi8-r><p>" + "\u0434\u0430".encode("koi8-r"), "\u0434\u0430"),
+        ("HTTP/1.1 200 OK\nContent-Type: text/html\nContent-Encoding: gzip", gzip.compress("<p>\xfcber".encode()), "\xfcber"),
+        ("HTTP/1.1 200 OK\nContent-Type: text/html\nContent-Encoding: deflate\nTransfer-Encoding: chunked", b"5;a=b\r\n" + (z := zlib.compress(b"<p>deep</p>"))[:5] + b"\r\n%x\r\n" % len(z[5:]) + z[5:] + b"\r\n0\r\n", "deep"),
+        ("HTTP/1.1 200 OK\nContent-Type: text/html\nContent-Encoding: br", b"\x01\x02", ""),
+        ("HTTP/1.1 200 OK\nContent-Type: image/png", b"\x89PNG\xff", ""),
+        ("HTTP/1.1 200 OK\nContent-Type: text/plain", b"a <p> b", "a <p> b"),
+        ("HTTP/1.1 200 OK\nContent-Type: text/html; charset=nonsense", "\ufeff<p>\xe9".encode(), "\xe9"),
+        ("HTTP/1.1 200 OK\nTransfer-Encoding: chunked", b"<p>not chunked", "not chunked"),
+        ("HTTP/1.1 200 OK\nContent-Type: text/plain", start, start.decode().replace("\r\n\r\n", "\n").replace("\r\n", "\n")),
+        ("HTTP/1.1 204 No Content", b"", ""),
+    ]
+    made = [response(head, payload, f"http://a.org/{i}") for i, (head, payload, _) in enumerate(cases)]
+    made.append(("WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 0", b""))
+    for name, rows in (("spark", made), ("none", [])):
+        warc.write_records(spark.createDataFrame(rows, "headers string, block binary").coalesce(2), str(tmp_path / name))
+    # As other writers do it: one member for each record.
+    (tmp_path / "members").mkdir()
+    for i in range(2):
+        (tmp_path / "members" / f"{i}.warc.gz").write_bytes(b"".join(gzip.compress(h.encode() + b"\r\n\r\n" + b + b"\r\n\r\n") for h, b in made[i::2]))
+    for name in ("spark", "members"):
+        read = warc.read_records(spark, str(tmp_path / name))
+        assert sorted((r["headers"], bytes(r["block"])) for r in read.collect()) == sorted(made)
+        source = warc.responses_of(read)
+        got = {r["target_uri"]: r for r in warc.derivatives(source).where("warc_type = 'conversion'").collect()}
+        assert {u: r["block"] for u, r in got.items()} == {f"http://a.org/{i}": text for i, (_, _, text) in enumerate(cases)}
+        assert got["http://a.org/0"]["refers_to"] == "<urn:x:http://a.org/0>" and got["http://a.org/0"]["date"] == "2020-01-01T00:00:00Z"
+        assert all(r["payload_digest"] is None for r in got.values())
+    assert warc.read_records(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "0.warc.gz").write_bytes(gzip.compress(made[0][0].encode() + b"\r\n\r\n" + made[0][1][:-3]))
+    with pytest.raises(Exception, match="ends inside a record"):
+        warc.read_records(spark, str(tmp_path / "cut")).count()
 
 
 # --- neighbours

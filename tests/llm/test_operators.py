@@ -412,7 +412,7 @@ def test_every_unlabelled_document_may_take_part(spark, medium_dir, monkeypatch)
     docs, labels = (spark.read.parquet(f"{medium_dir}/{t}.parquet") for t in ("documents", "labels"))
     pools, step = [], cotraining.handed_over
     monkeypatch.setattr(cotraining, "handed_over", lambda *given: pools.append(step(*given)) or pools[-1])
-    monkeypatch.setattr(cotraining, "TRAIN_ROWS", 100)
+    monkeypatch.setattr(cotraining, "TRAIN_ROWS", 250)
     cotraining.scored(docs, labels)
     free = docs.join(labels.where("quality IS NOT NULL"), "doc_id", "left_anti").count()
     seen = [{(r["doc_id"], v): r[f"by_{v}"] for r in p.collect() for v in ("content", "page")} for p in pools]

@@ -107,7 +107,7 @@ def _says(name: str, tag: str) -> int:
 class Node:
     """An open element: its tag, the hash of its path, and what its tag and names say.
 
-    ``noise`` holds when the page is read, see ``page_of``.
+    ``noise`` is what they say until the page is read, see ``page_of``.
     """
 
     __slots__ = ("tag", "path", "mark", "noise", "landmark", "soft", "named", "children", "parent", "chars", "main_chars")
@@ -128,7 +128,7 @@ class Node:
         self.mark = STRONG if tag in NOISE_TAGS or hidden or (tag == "header" and not inside) else WEAK if tag in WEAK_TAGS else 0
         if names and self.mark < STRONG and tag not in ("html", "body"):
             self.mark = max(self.mark, *(_says(name, tag) for name in names))
-        self.noise = False
+        self.noise = self.mark > 0
         self.landmark = inside or tag in LANDMARKS or "main" in found.get("role", "").lower().split()
         own = bool(names) and tag not in CONTENT_TAGS and any(not CONTENT_NAMES.isdisjoint(x.lower() for x in _PART.findall(name)) for name in names)
         self.soft = bool(parent and parent.soft) or (own and not self.mark and tag not in ("html", "body"))

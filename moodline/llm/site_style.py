@@ -70,6 +70,8 @@ NOISE_NAMES = frozenset(
     "sponsored cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login searchbox pagination pager toolbar "
     "complementary contentinfo".split()
 )
+# As the whole name they hold however much of the text is inside.
+ADVERT_NAMES = frozenset("ad ads adv advert adverts advertisement".split())
 FIRST_NAMES = frozenset(
     "promo promotion banner notice alert search share sharing social related recommended widget skip dialog form copyright legal disclaimer".split()
 )
@@ -99,6 +101,8 @@ def _says(name: str, tag: str) -> int:
         return STRONG
     if tag in LANDMARKS:
         return 0
+    if len(parts) == 1 and parts[0] in ADVERT_NAMES:
+        return STRONG
     if tag in CONTENT_TAGS:
         return WEAK if len(parts) == 1 and (parts[0] in NOISE_NAMES or parts[0] in FIRST_NAMES) else 0
     return WEAK if parts[0] in FIRST_NAMES or not NOISE_NAMES.isdisjoint(parts) else 0

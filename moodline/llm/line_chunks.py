@@ -8,22 +8,24 @@ or is such a long line. Of a counting chunk that appears more than once over all
 first (smallest ``doc_id``, then place) stays, and every later one is removed after
 its bytes were compared with the first.
 
-Chunks miss passages: the first and last chunk of one take in lines around it, and a
-chunk of one line under LONG_LINE words does not count. ``without_repeats`` therefore
-also takes out repeated *runs*: filled lines each two neighbours of which (blank lines
+Chunks alone miss passages: the first and last chunk of one take in lines around it, and a
+chunk of one line under LONG_LINE words does not count. Matches are therefore carried
+over chunk borders by *runs*: filled lines each two neighbours of which (blank lines
 between them left aside) stand in this order at an earlier place, byte for byte, with
-over RUN_WORDS words together. Every line that goes has an equal one at an earlier place,
-so that its first occurrence stays. ``deduplicated`` keeps to chunks, as its SQL does.
+over RUN_WORDS words together. A run goes with the blank lines inside it. Every line
+that goes has an equal one at an earlier place, so that its first occurrence stays.
 
 Defined results: NULL and empty texts stay as they are; documents that lose every
-chunk stay as rows with an empty text; rows that agree in ``doc_id`` and text are
+line stay as rows with an empty text; rows that agree in ``doc_id`` and text are
 treated alike; further columns are carried along, whatever their names. NULL
-``doc_id`` sorts first.
-
-Only narrow rows are grouped. Chunk texts move twice: to be joined with the repeated
-keys, a join that adaptive execution can split for a hot chunk, and the repeated ones
-once more to meet the first occurrence for the comparison. Pairs of lines are grouped by
-their hashes; only those in runs that are long enough fetch their lines.
+``doc_id`` sorts first. An empty table gives an empty one.
+
+Each text is split once, into *spans*: its counting chunks and its pairs of neighbouring
+filled lines, as narrow rows of two hashes. Very frequent spans are joined with their
+first occurrence by broadcast (fewer than a thousand narrow rows), all others by shuffle.
+Texts move once, to meet the spans to look at, and are stored with them. The bytes of
+these spans are compared in a join that is salted by the number of copies. Spans that
+differ in spite of equal hashes, as a rule none, are taken back when texts are put together.
 """
 
 from __future__ import annotations
@@ -32,176 +34,173 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodline.functions.text import once
+from moodline.llm.hot import attached
 from moodline.llm.tables import bound, staged, words_of
 
 DIVISOR = 3
 LONG_LINE = 50
 RUN_WORDS = 50
+COPIES_A_SALT = 1000
+KEY = ["run", "h1", "h2"]
 
 
 def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def _chunks(text: Column) -> Column:
-    """array<struct<body, counts, start, size>>: the chunks of a text, which joined by newlines give it back."""
-
-    def facts(line: Column) -> Column:
-        n = F.size(words_of(line))
-        return F.struct(_line_hash(line).alias("h"), (n >= LONG_LINE).alias("long"), (n > 0).alias("filled"))
+def _between(items: Column, last: Column) -> Column:
+    """``items`` in parts that end at the indices ``last``."""
 
-    def cut(lines: Column) -> Column:
-        def with_facts(f: Column) -> Column:
-            def ends(i: Column) -> Column:
-                rolling = F.get(f, i)["h"] * 31 + F.coalesce(F.get(f, i - 1)["h"], F.lit(0))
-                return (rolling % DIVISOR == 0) | F.get(f, i)["long"] | F.coalesce(F.get(f, i + 1)["long"], F.lit(True))
+    def part(end: Column, j: Column) -> Column:
+        start = F.coalesce(F.get(last, j - 1) + 1, F.lit(0))
+        return F.slice(items, start + 1, end - start + 1)
 
-            places = F.sequence(F.lit(0), F.size(f) - 1)
+    return F.transform(last, part)
 
-            def between(last: Column) -> Column:
-                def chunk(end: Column, j: Column) -> Column:
-                    start = F.coalesce(F.get(last, j - 1) + 1, F.lit(0))
-                    part = F.slice(f, start + 1, end - start + 1)
-                    filled = F.size(F.filter(part, lambda x: x["filled"]))
-                    return F.struct(
-                        F.array_join(F.slice(lines, start + 1, end - start + 1), "\n").alias("body"),
-                        ((filled >= 2) | F.exists(part, lambda x: x["long"])).alias("counts"),
-                        start.alias("start"),
-                        (end - start + 1).alias("size"),
-                    )
 
-                return F.transform(last, chunk)
+def _span(run: bool, first: Column, last: Column, words: tuple[Column, Column], hashes: tuple[Column, Column]) -> Column:
+    """A chunk or a pair (``run``) with its first and last line; words are counted for pairs."""
+    return F.struct(
+        first["place"].alias("place"),
+        last["place"].alias("last"),
+        F.lit(run).alias("run"),
+        words[0].alias("n"),
+        words[1].alias("n_next"),
+        hashes[0].alias("h1"),
+        hashes[1].alias("h2"),
+    )
 
-            return bound(F.filter(places, ends), between)
 
-        return bound(F.transform(lines, facts), with_facts)
+def _spans(text: Column) -> Column:
+    """The counting chunks and the pairs of neighbouring filled lines of a text, as array of ``_span``."""
 
-    return bound(F.split(text, "\n"), cut)
+    def facts(line: Column, i: Column) -> Column:
+        return F.struct(i.alias("place"), line.alias("line"), _line_hash(line).alias("h"), F.size(words_of(line)).alias("n"))
 
+    def chunks(f: Column) -> Column:
+        def ends(i: Column) -> Column:
+            rolling = F.get(f, i)["h"] * 31 + F.coalesce(F.get(f, i - 1)["h"], F.lit(0))
+            return (rolling % DIVISOR == 0) | (F.get(f, i)["n"] >= LONG_LINE) | F.coalesce(F.get(f, i + 1)["n"] >= LONG_LINE, F.lit(True))
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns but the text), ``doc_id``, ``text``, and a key of two hashes of these two."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    own = [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("_k2")]
-    return docs.select(row.alias("row"), "doc_id", "text", *own)
+        def counts(part: Column) -> Column:
+            return (F.size(F.filter(part, lambda x: x["n"] > 0)) >= 2) | F.exists(part, lambda x: x["n"] >= LONG_LINE)
 
+        def span(part: Column) -> Column:
+            body = F.array_join(F.transform(part, lambda x: x["line"]), "\n")
+            ends_of = F.element_at(part, 1), F.element_at(part, -1)
+            return bound(body, lambda b: _span(False, *ends_of, (F.lit(0), F.lit(0)), (F.xxhash64(b), F.xxhash64(F.lit(1), b))))
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """One row per counting chunk: the document's keys, place, body and the body's two hashes."""
-    rows = _keyed(docs.select("doc_id", "text")).where(F.col("text") != "")
-    listed = rows.select("doc_id", "_k1", "_k2", once(F.col("text"), _chunks).alias("c"))
-    each = listed.select("doc_id", "_k1", "_k2", F.posexplode("c").alias("place", "chunk")).where("chunk.counts")
-    return each.select("doc_id", "_k1", "_k2", "place", F.col("chunk.body").alias("body")).withColumns(
-        {"h1": F.xxhash64("body"), "h2": F.xxhash64(F.lit(1), "body")}
-    )
+        places = F.sequence(F.lit(0), F.size(f) - 1)
+        parts = bound(F.filter(places, ends), lambda last: _between(f, last))
+        return F.transform(F.filter(parts, counts), span)
 
+    def pairs(filled: Column) -> Column:
+        def pair(b: Column, j: Column) -> Column:
+            a = F.get(filled, j)
+            hashes = [F.xxhash64(F.lit(salt), a["line"], b["line"]) for salt in (2, 3)]
+            return _span(True, a, b, (a["n"], b["n"]), (hashes[0], hashes[1]))
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """Places of the chunks to remove: ``_k1, _k2, place``, one row each."""
-    found = chunks(docs)
-    at = F.struct("doc_id", "_k1", "_k2", "place")
-    keys = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(at).alias("first")).where("n > 1").drop("n")
-    occurrences = staged(found.withColumn("at", at).drop("doc_id", "_k1", "_k2", "place").join(keys, ["h1", "h2"]), "repeated-chunks")
-    is_first = F.col("at") == F.col("first")
-    firsts = occurrences.where(is_first).select("h1", "h2", F.col("body").alias("kept_body")).dropDuplicates(["h1", "h2"])
-    later = occurrences.where(~is_first).select("h1", "h2", "body", "at")
-    same = later.join(firsts, ["h1", "h2"]).where(F.encode("body", "utf-8") == F.encode("kept_body", "utf-8"))
-    return same.select("at._k1", "at._k2", "at.place").distinct()
+        return F.transform(F.slice(filled, 2, F.size(filled)), pair)
 
+    def both(f: Column) -> Column:
+        return F.concat(chunks(f), bound(F.filter(f, lambda x: x["n"] > 0), pairs))
 
-def _pairs(text: Column) -> Column:
-    """array<struct<place, next, n, n_next, h1, h2>>: neighbouring filled lines, their words and hashes of both."""
+    return bound(bound(F.split(text, "\n"), lambda lines: F.transform(lines, facts)), both)
 
-    def facts(line: Column, i: Column) -> Column:
-        return F.struct(i.alias("place"), line.alias("line"), F.size(words_of(line)).alias("n"))
 
-    def paired(f: Column) -> Column:
-        def pair(b: Column, j: Column) -> Column:
-            a = F.get(f, j)
-            hashes = [F.xxhash64(a["line"], b["line"]).alias("h1"), F.xxhash64(F.lit(1), a["line"], b["line"]).alias("h2")]
-            return F.struct(a["place"].alias("place"), b["place"].alias("next"), a["n"].alias("n"), b["n"].alias("n_next"), *hashes)
-
-        return F.transform(F.slice(f, 2, F.size(f)), pair)
-
-    return bound(F.filter(bound(F.split(text, "\n"), lambda lines: F.transform(lines, facts)), lambda x: x["n"] > 0), paired)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns but the text), ``doc_id``, ``text``, and a key of two hashes of these two."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    own = [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64("text", "doc_id", F.lit(1)).alias("_k2")]
+    return docs.select(row.alias("row"), "doc_id", "text", *own)
 
 
 def _long_runs(pairs: Column) -> Column:
-    """Of pairs sorted by place, those in runs of over RUN_WORDS words."""
+    """Of pairs, those in runs of over RUN_WORDS words, sorted by place."""
 
     def runs(s: Column) -> Column:
-        ends = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.coalesce(F.get(s, i + 1)["place"] != F.get(s, i)["next"], F.lit(True)))
-
-        def split(last: Column) -> Column:
-            def run(end: Column, j: Column) -> Column:
-                start = F.coalesce(F.get(last, j - 1) + 1, F.lit(0))
-                return F.slice(s, start + 1, end - start + 1)
-
-            return F.transform(last, run)
+        ends = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.coalesce(F.get(s, i + 1)["place"] != F.get(s, i)["last"], F.lit(True)))
 
         def long(run: Column) -> Column:
             return F.aggregate(run, F.element_at(run, -1)["n_next"], lambda total, x: total + x["n"]) > RUN_WORDS
 
-        return F.flatten(F.filter(bound(ends, split), long))
+        return F.when(F.size(s) > 0, F.flatten(F.filter(bound(ends, lambda last: _between(s, last)), long))).otherwise(s)
+
+    return bound(F.sort_array(pairs), runs)
 
-    return bound(pairs, runs)
 
+def _to_go(spans: Column) -> Column:
+    """Of repeated spans, the chunks and the pairs in long runs."""
+    return F.concat(F.filter(spans, lambda s: ~s["run"]), _long_runs(F.filter(spans, lambda s: s["run"])))
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``_k1, _k2, lines``: the places of the lines of each document that are in repeated runs."""
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """``_k1, _k2, spans``: of each document the spans to go by their hashes, each with its ``first`` occurrence and the number of all, ``times``."""
     rows = _keyed(docs.select("doc_id", "text")).where(F.col("text") != "")
-    each = rows.select("doc_id", "_k1", "_k2", once(F.col("text"), _pairs).alias("p")).select("doc_id", "_k1", "_k2", F.explode("p").alias("p"))
-    at = F.struct("doc_id", "_k1", "_k2", "p.place", "p.next")
-    found = staged(each.select(F.col("p.h1").alias("h1"), F.col("p.h2").alias("h2"), "p.n", "p.n_next", at.alias("at")), "line-pairs")
-    keys = found.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("at").alias("first")).where("times > 1").drop("times")
-    later = found.join(keys, ["h1", "h2"]).where(F.col("at") != F.col("first"))
-    pair = F.struct("at.place", "at.next", "n", "n_next", "h1", "h2", "first")
-    by_doc = later.groupBy("at._k1", "at._k2").agg(F.sort_array(F.collect_set(pair)).alias("p"))
-    hashed = staged(by_doc.select("_k1", "_k2", F.explode(_long_runs(F.col("p"))).alias("p")).select("_k1", "_k2", "p.*"), "line-runs")
-
-    # The lines of these pairs and of their first occurrences, for the comparison.
-    copies = hashed.select("_k1", "_k2", F.struct("place", "next", "n", "n_next", "h1", "h2", F.lit(False).alias("is_first")).alias("p"))
-    firsts = hashed.select("first._k1", "first._k2", F.struct("first.place", "first.next", "n", "n_next", "h1", "h2", F.lit(True).alias("is_first")).alias("p"))
+    listed = rows.select("doc_id", "_k1", "_k2", once(F.col("text"), _spans).alias("s"))
+    each = listed.select("doc_id", "_k1", "_k2", F.explode("s").alias("s"))
+    at = F.struct("doc_id", "_k1", "_k2", "s.place", "s.last")
+    found = staged(each.select("s.h1", "s.h2", "s.run", "s.n", "s.n_next", at.alias("at")), "line-spans")
+    counted = found.groupBy(*KEY).agg(F.count("*").alias("times"), F.min("at").alias("first")).where("times > 1")
+    later = attached(found, staged(counted, "repeated-spans"), KEY, "times", found.count()).where(F.col("at") != F.col("first"))
+    span = F.struct("at.place", "at.last", "run", "n", "n_next", "h1", "h2", "times", "first")
+    by_doc = later.groupBy("at._k1", "at._k2").agg(F.collect_set(span).alias("spans"))
+    return by_doc.select("_k1", "_k2", _to_go(F.col("spans")).alias("spans")).where(F.size("spans") > 0)
+
+
+def _with_spans(docs: DataFrame) -> DataFrame:
+    """The keyed documents with ``wanted``: their spans to go, and the first occurrences (``is_first``) of those of others."""
+    each = staged(repeated(docs), "spans-to-go").select("_k1", "_k2", F.explode("spans").alias("s"))
+    facts = [F.col(f"s.{c}") for c in ("run", "n", "n_next", "h1", "h2", "times")]
+    copies = each.select("_k1", "_k2", F.struct("s.place", "s.last", *facts, F.lit(False).alias("is_first")).alias("p"))
+    firsts = each.select("s.first._k1", "s.first._k2", F.struct("s.first.place", "s.first.last", *facts, F.lit(True).alias("is_first")).alias("p"))
     wanted = copies.union(firsts).groupBy("_k1", "_k2").agg(F.collect_set("p").alias("wanted"))
+    return staged(_keyed(docs).drop("doc_id").join(wanted, ["_k1", "_k2"], "left"), "texts-and-spans")
+
+
+def _unequal(rows: DataFrame) -> DataFrame:
+    """``_k1, _k2, unequal``: the spans whose bytes are not those of their first occurrence."""
 
-    def with_lines(lines: Column) -> Column:
-        return F.transform("wanted", lambda p: F.struct(p.alias("p"), F.get(lines, p["place"]).alias("a"), F.get(lines, p["next"]).alias("b")))
+    def with_body(lines: Column) -> Column:
+        def body(p: Column) -> Column:
+            pair = F.concat_ws("\n", F.get(lines, p["place"]), F.get(lines, p["last"]))
+            chunk = F.array_join(F.slice(lines, p["place"] + 1, p["last"] - p["place"] + 1), "\n")
+            return F.struct(p.alias("p"), F.when(p["run"], pair).otherwise(chunk).cast("binary").alias("body"))
 
-    texts = rows.select("_k1", "_k2", "text").join(wanted, ["_k1", "_k2"])
-    bodies = staged(texts.select("_k1", "_k2", F.explode(bound(F.split("text", "\n"), with_lines)).alias("w")).select("_k1", "_k2", "w.p.*", "w.a", "w.b"), "line-bodies")
-    kept = bodies.where("is_first").select("h1", "h2", F.col("a").alias("kept_a"), F.col("b").alias("kept_b")).dropDuplicates(["h1", "h2"])
-    same = (F.encode("a", "utf-8") == F.encode("kept_a", "utf-8")) & (F.encode("b", "utf-8") == F.encode("kept_b", "utf-8"))
-    equal = bodies.where(~F.col("is_first")).join(kept, ["h1", "h2"]).where(same)
-    pairs = equal.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_set(F.struct("place", "next", "n", "n_next"))).alias("p"))
-    lines = F.array_distinct(F.flatten(F.transform("p", lambda p: F.sequence(p["place"], p["next"]))))
-    return pairs.select("_k1", "_k2", _long_runs(F.col("p")).alias("p")).where(F.size("p") > 0).select("_k1", "_k2", lines.alias("lines"))
+        return F.transform("wanted", body)
 
+    each = rows.where("wanted IS NOT NULL").select("_k1", "_k2", F.explode(bound(F.split("text", "\n"), with_body)).alias("w"))
+    bodies = staged(each.select("_k1", "_k2", "w.p.*", "w.body"), "span-bodies")
+    salts = F.floor(F.col("times") / COPIES_A_SALT)
+    kept = bodies.where("is_first").dropDuplicates(KEY)
+    kept = kept.select(*KEY, F.col("body").alias("kept_body"), F.explode(F.sequence(F.lit(0).cast("long"), salts)).alias("salt"))
+    copies = bodies.where("NOT is_first").withColumn("salt", F.pmod(F.xxhash64("_k1", "_k2", "place"), salts + 1))
+    differ = copies.join(kept, [*KEY, "salt"]).where("body <> kept_body")
+    return differ.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("place", "last", "run")).alias("unequal"))
 
-def _rebuilt(docs: DataFrame, runs: bool = False) -> DataFrame:
-    """``row`` (all columns but the text), ``text`` without later copies of chunks (and ``runs``), ``n_removed`` chunks, ``changed``."""
-    gone = repeats(docs).groupBy("_k1", "_k2").agg(F.collect_list("place").alias("gone"))
-    lines = F.array().cast("array<int>")
-    if runs:
-        gone = gone.join(repeated_lines(docs), ["_k1", "_k2"], "full")
-        lines = F.coalesce("lines", lines)
-    both = _keyed(docs).drop("doc_id").join(gone.withColumn("lines", lines), ["_k1", "_k2"], "left")
 
-    def kept(parts: Column) -> Column:
-        in_chunks = F.flatten(F.transform(F.coalesce("gone", F.array().cast("array<int>")), lambda p: bound(F.get(parts, p), lambda c: F.sequence(c["start"], c["start"] + c["size"] - 1))))
+def _rebuilt(docs: DataFrame) -> DataFrame:
+    """``row`` (all columns but the text), ``text`` without later copies, ``n_removed`` chunks, ``changed``."""
+    rows = _with_spans(docs)
+    both = rows.join(staged(_unequal(rows), "unequal-spans"), ["_k1", "_k2"], "left")
 
-        def rest(all_lines: Column) -> Column:
-            places = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.concat(in_chunks, F.col("lines")))
-            return F.array_join(F.transform(places, lambda p: F.get(all_lines, p)), "\n")
+    def confirmed(p: Column) -> Column:
+        here = F.struct(p["place"].alias("place"), p["last"].alias("last"), p["run"].alias("run"))
+        return ~p["is_first"] & ~F.coalesce(F.array_contains("unequal", here), F.lit(False))
 
-        return bound(F.split("text", "\n"), rest)
+    def rest(lines: Column) -> Column:
+        gone = F.flatten(F.transform("gone", lambda s: F.sequence(s["place"], s["last"])))
+        return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")
 
-    text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(bound(_chunks(F.col("text")), kept))
-    n = F.coalesce(F.array_size("gone"), F.lit(0))
-    return both.select("row", n.alias("n_removed"), F.col("lines").isNotNull().alias("changed"), once(text, lambda t: t).alias("text"))
+    marked = both.select("row", "text", once(F.filter("wanted", confirmed), _to_go).alias("gone"))
+    changed = F.coalesce(F.array_size("gone") > 0, F.lit(False))
+    text = F.when(changed, bound(F.split("text", "\n"), rest)).otherwise(F.col("text"))
+    n = F.coalesce(F.array_size(F.filter("gone", lambda s: ~s["run"])), F.lit(0))
+    return marked.select("row", n.alias("n_removed"), changed.alias("changed"), once(text, lambda t: t).alias("text"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """Per row: ``doc_id``, its ``text`` without later copies of repeated chunks, and their number, ``n_removed``."""
+    """Per row: ``doc_id``, its ``text`` without later copies of chunks and runs, and the number of these chunks, ``n_removed``."""
     return _rebuilt(docs).select("row.doc_id", "n_removed", "text")
 
 
@@ -209,4 +208,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with their own columns, without later copies of chunks and runs; ``n_chars``, if there is one, follows the text."""
     length = F.when(F.col("changed"), F.length("text").cast("long"))
     own = {"text": F.col("text"), "n_chars": F.coalesce(length, F.col("row.n_chars")).alias("n_chars") if "n_chars" in docs.columns else None}
-    return _rebuilt(docs, runs=True).select(*[own[c] if c in own else F.col(f"row.`{c}`") for c in docs.columns])
+    return _rebuilt(docs).select(*[own[c] if c in own else F.col(f"row.`{c}`") for c in docs.columns])

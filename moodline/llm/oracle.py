@@ -89,10 +89,26 @@ ln AS (
 )"""
 
 
+# Runs of filled lines each neighbouring pair of which has been seen before, and the chunks.
 OP8 = f"""
-WITH {chunk_sql("documents")}
-SELECT d.doc_id, coalesce(r.n_removed, 0) AS n_removed, coalesce(r.new_text, d.text) AS text
-FROM documents d LEFT JOIN rebuilt r USING (doc_id)
+WITH {chunk_sql("documents")}, pair AS (
+  SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY doc_id, i) > 1 AS later FROM (
+    SELECT doc_id, i, x, n, row_number() OVER d AS j, lead(i) OVER d AS i_next, lead(x) OVER d AS y, lead(n) OVER d AS n_next
+    FROM ln WHERE n > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+  ) WHERE y IS NOT NULL
+), run AS (
+  SELECT doc_id, min(i) AS a, max(i_next) AS b, sum(n) + arg_max(n_next, j) AS n_words
+  FROM (SELECT *, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS island FROM pair WHERE later)
+  GROUP BY doc_id, island
+), dropped AS (
+  SELECT doc_id, unnest(range(a, b + 1)) AS i FROM run WHERE n_words > 50
+  UNION SELECT doc_id, i FROM numbered JOIN marked USING (doc_id, c) WHERE gone
+), left_over AS (
+  SELECT doc_id, bool_or(dropped.i IS NOT NULL) AS changed, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (dropped.i IS NULL), '') AS new_text
+  FROM ln LEFT JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(r.n_removed, 0) AS n_removed, CASE WHEN l.changed THEN l.new_text ELSE d.text END AS text
+FROM documents d LEFT JOIN rebuilt r USING (doc_id) LEFT JOIN left_over l USING (doc_id)
 """
 
 OP11 = r"""

@@ -226,7 +226,23 @@ def test_repeated_passages_lose_all_their_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(docs).collect()} == left
     fifty = spark.createDataFrame([(i, "\n".join([*few, words(9, 9100 + i)])) for i in range(3)], "doc_id long, text string")
-    assert line_chunks.repeated_lines(fifty).count() == 0
+    assert not any(s["run"] for r in line_chunks.repeated(fifty).collect() for s in r["spans"])
+
+
+def test_spans_with_equal_hashes_are_told_apart(spark, monkeypatch):
+    span = line_chunks._span
+    monkeypatch.setattr(line_chunks, "_span", lambda run, first, last, n, hashes: span(run, first, last, n, (F.lit(0).cast("long"), F.lit(0).cast("long"))))
+    a, b = words(60, 7001), words(60, 7002)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a), (4, b + "\n" + a)], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(docs).collect()} == {1: a, 2: b, 3: "", 4: b}
+
+
+def test_a_passage_in_a_third_of_all_rows(spark):
+    """More copies than one salt takes, and more than a thousandth of all spans."""
+    passage = "\n".join(words(30, 7100 + i) for i in range(3))
+    rows = [(i, (passage + "\n" if i % 3 == 0 else "") + f"line of {i}\nand of {i * i + 7}") for i in range(6000)]
+    left = {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert left == {i: t.removeprefix(passage + "\n") if i else t for i, t in rows}
 
 
 def test_native_operators_run_no_python(odd):

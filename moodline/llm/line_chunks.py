@@ -23,9 +23,9 @@ treated alike; further columns are carried along, whatever their names. NULL
 Each text is split once, into *spans*: its counting chunks and its pairs of neighbouring
 filled lines, as narrow rows of two hashes. Very frequent spans are joined with their
 first occurrence by broadcast (fewer than a thousand narrow rows), all others by shuffle.
-Texts move once, to meet the spans to look at, and are stored with them. The bytes of
-these spans are compared in a join that is salted by the number of copies. Spans that
-differ in spite of equal hashes, as a rule none, are taken back when texts are put together.
+Texts move twice and are not stored: to meet the spans to look at, whose bytes are then
+compared in a join that is salted by the number of copies, and to meet the places to go.
+Spans that differ in spite of equal hashes, as a rule none, are taken back before.
 """
 
 from __future__ import annotations
@@ -148,18 +148,14 @@ def repeated(docs: DataFrame) -> DataFrame:
     return by_doc.select("_k1", "_k2", _to_go(F.col("spans")).alias("spans")).where(F.size("spans") > 0)
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
-    """The keyed documents with ``wanted``: their spans to go, and the first occurrences (``is_first``) of those of others."""
-    each = staged(repeated(docs), "spans-to-go").select("_k1", "_k2", F.explode("spans").alias("s"))
-    facts = [F.col(f"s.{c}") for c in ("run", "n", "n_next", "h1", "h2", "times")]
+def _unequal(docs: DataFrame, to_go: DataFrame) -> DataFrame:
+    """``_k1, _k2, unequal``: the spans to go whose bytes are not those of their first occurrence."""
+    each = to_go.select("_k1", "_k2", F.explode("spans").alias("s"))
+    facts = [F.col(f"s.{c}") for c in (*KEY, "times")]
     copies = each.select("_k1", "_k2", F.struct("s.place", "s.last", *facts, F.lit(False).alias("is_first")).alias("p"))
     firsts = each.select("s.first._k1", "s.first._k2", F.struct("s.first.place", "s.first.last", *facts, F.lit(True).alias("is_first")).alias("p"))
     wanted = copies.union(firsts).groupBy("_k1", "_k2").agg(F.collect_set("p").alias("wanted"))
-    return staged(_keyed(docs).drop("doc_id").join(wanted, ["_k1", "_k2"], "left"), "texts-and-spans")
-
-
-def _unequal(rows: DataFrame) -> DataFrame:
-    """``_k1, _k2, unequal``: the spans whose bytes are not those of their first occurrence."""
+    rows = _keyed(docs.select("doc_id", "text")).select("_k1", "_k2", "text").join(wanted, ["_k1", "_k2"])
 
     def with_body(lines: Column) -> Column:
         def body(p: Column) -> Column:
@@ -169,8 +165,8 @@ def _unequal(rows: DataFrame) -> DataFrame:
 
         return F.transform("wanted", body)
 
-    each = rows.where("wanted IS NOT NULL").select("_k1", "_k2", F.explode(bound(F.split("text", "\n"), with_body)).alias("w"))
-    bodies = staged(each.select("_k1", "_k2", "w.p.*", "w.body"), "span-bodies")
+    sides = rows.select("_k1", "_k2", F.explode(bound(F.split("text", "\n"), with_body)).alias("w"))
+    bodies = staged(sides.select("_k1", "_k2", "w.p.*", "w.body"), "span-bodies")
     salts = F.floor(F.col("times") / COPIES_A_SALT)
     kept = bodies.where("is_first").dropDuplicates(KEY)
     kept = kept.select(*KEY, F.col("body").alias("kept_body"), F.explode(F.sequence(F.lit(0).cast("long"), salts)).alias("salt"))
@@ -181,18 +177,21 @@ def _unequal(rows: DataFrame) -> DataFrame:
 
 def _rebuilt(docs: DataFrame) -> DataFrame:
     """``row`` (all columns but the text), ``text`` without later copies, ``n_removed`` chunks, ``changed``."""
-    rows = _with_spans(docs)
-    both = rows.join(staged(_unequal(rows), "unequal-spans"), ["_k1", "_k2"], "left")
+    to_go = staged(repeated(docs), "spans-to-go")
+    unequal = staged(_unequal(docs, to_go), "unequal-spans")
+
+    def confirmed(s: Column) -> Column:
+        here = F.struct(s["place"].alias("place"), s["last"].alias("last"), s["run"].alias("run"))
+        return ~F.coalesce(F.array_contains("unequal", here), F.lit(False))
 
-    def confirmed(p: Column) -> Column:
-        here = F.struct(p["place"].alias("place"), p["last"].alias("last"), p["run"].alias("run"))
-        return ~p["is_first"] & ~F.coalesce(F.array_contains("unequal", here), F.lit(False))
+    checked = to_go.join(unequal, ["_k1", "_k2"], "left").select("_k1", "_k2", _to_go(F.filter("spans", confirmed)).alias("gone"))
+    places = checked.select("_k1", "_k2", F.transform("gone", lambda s: F.struct(s["place"].alias("place"), s["last"].alias("last"), s["run"].alias("run"))).alias("gone"))
+    marked = _keyed(docs).drop("doc_id").join(places, ["_k1", "_k2"], "left")
 
     def rest(lines: Column) -> Column:
         gone = F.flatten(F.transform("gone", lambda s: F.sequence(s["place"], s["last"])))
         return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")
 
-    marked = both.select("row", "text", once(F.filter("wanted", confirmed), _to_go).alias("gone"))
     changed = F.coalesce(F.array_size("gone") > 0, F.lit(False))
     text = F.when(changed, bound(F.split("text", "\n"), rest)).otherwise(F.col("text"))
     n = F.coalesce(F.array_size(F.filter("gone", lambda s: ~s["run"])), F.lit(0))

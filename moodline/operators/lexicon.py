@@ -3,7 +3,9 @@
 A lexicon is a DataFrame with one row per lower-case token (``schemas.LEXICON``).
 Up to ``MAX_INDEX_ROWS`` rows it becomes a constant of the plan: an array of small
 maps, addressed by the hash of the token. Scoring then needs no join and no
-shuffle, and no text ever leaves its row. A larger lexicon is joined instead.
+shuffle, and no text ever leaves its row. Of a larger lexicon the entries that the
+texts hold are looked for first, by their different tokens; when those are few enough
+they become the constant, and only when they are not is every token joined.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodline.functions.text import once, tokens
+from moodline.operators.ordered import stored
 from moodline.schemas import LEXICON
 
 MAX_INDEX_ROWS = 50_000
@@ -278,9 +281,17 @@ def with_hits(
     if index is None and df.isStreaming:
         raise ValueError("a lexicon this large is joined: score a stream within each micro-batch (feed.start_scoring does)")
     if index is None:
-        joined = _join_hits(df.withColumn("_tokens", tokens(F.col(text))), lexicon)
-        hits = F.transform("_joined_hits", lambda h: hit(F.col("_tokens"), h["pos"], h["entry"]))
-        return joined.select(*df.columns, found(F.col("_tokens"), hits).alias("_found")).select(*df.columns, "_found.*")
+        lexicon = stored(_occurring(df, lexicon, text), "lexicon")
+        index = build_index(lexicon)
+    if index is None:
+        nothing = F.array().cast(f"array<struct<pos:int,entry:{_ENTRY}>>")
+
+        def joined_hits(words: Column) -> Column:
+            hits = F.when(words.isNotNull(), F.coalesce("_joined_hits", nothing))
+            return found(words, F.transform(hits, lambda h: hit(words, h["pos"], h["entry"])))
+
+        joined = _join_hits(df, lexicon, text).select(*df.columns, once(tokens(F.col(text)), joined_hits).alias("_found"))
+        return joined.select(*df.columns, "_found.*")
 
     def look_up(words: Column) -> Column:
         def entry_hit(token: Column, pos: Column) -> Column:
@@ -293,30 +304,31 @@ def with_hits(
     return looked_up.select(*df.columns, "_found.*")
 
 
-def _join_hits(tokenised: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """The same for a lexicon of any size: join the tokens, then gather each text's hits.
+def _occurring(df: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
+    """The entries whose token some text has: every task sends each of its different tokens once."""
+    words = df.select(F.explode(tokens(F.col(text))).alias("token")).select(F.lower("token").alias("token")).distinct()
+    return lexicon.join(words, "token", "left_semi").select(*lexicon.columns)
+
+
+def _join_hits(df: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
+    """The same for a lexicon of any size: join the tokens, then gather each text's ``_joined_hits``.
 
     Equal texts are looked up once. A text is one cell, so its gathered hits are no
     larger than the text itself. Both joins are salted, against frequent tokens and
-    against texts with very many copies.
+    against texts with very many copies. Texts are known by 128 bits of their SHA-256 and
+    cut into tokens after they have moved: arrays of tokens are several times their size.
     """
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    digest = F.sha2(F.array_join("_tokens", " "), 256)
-    keyed = tokenised.withColumn("_digest", digest).withColumn(
-        "_salt", F.pmod(F.xxhash64(*tokenised.columns), F.lit(SALTS)).cast("int")
-    )
-    texts = keyed.groupBy("_digest").agg(F.any_value("_tokens").alias("_tokens"))
-    spread = texts.select("_digest", F.posexplode("_tokens").alias("pos", "token")).select(
+    digest = F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+    keyed = df.withColumn("_digest", digest).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+    texts = keyed.groupBy("_digest").agg(F.any_value(text).alias("_text"))
+    spread = texts.select("_digest", F.posexplode(tokens(F.col("_text"))).alias("pos", "token")).select(
         "_digest", "pos", F.lower("token").alias("token"), (F.col("pos") % SALTS).alias("_salt")
     )
     hits = (
         spread.join(_entries(lexicon).withColumn("_salt", salts), ["token", "_salt"])
         .groupBy("_digest")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("_found"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("_joined_hits"))
         .withColumn("_salt", salts)
     )
-    nothing = F.array().cast(f"array<struct<pos:int,entry:{_ENTRY}>>")
-    return keyed.join(hits, ["_digest", "_salt"], "left").select(
-        *tokenised.columns,
-        F.when(F.col("_tokens").isNotNull(), F.coalesce("_found", nothing)).alias("_joined_hits"),
-    )
+    return keyed.join(hits, ["_digest", "_salt"], "left").select(*df.columns, "_joined_hits")

@@ -114,6 +114,23 @@ def test_no_shuffle_of_texts(spark, lexicon):
     assert "Exchange" not in plan and "Join" not in plan
 
 
+def test_texts_stay_when_few_entries_of_a_large_lexicon_occur(spark, monkeypatch):
+    large = lexicons.lexicon_from_rows(spark, [("good", 20, 700, 600), ("bad", -25, -700, 660), ("\u00fc", 1, 1, 1), ("rare", 9, 9, 9), ("odd", 8, 8, 8)])
+    values = ["Good BAD!", "not good", "x", "", None, "not good"]
+    want = scores(spark, large, scoring.EMPHASIS, *values)
+    monkeypatch.setattr(lexicons, "MAX_INDEX_ROWS", 2)
+    assert scores(spark, large, scoring.EMPHASIS, *values) == want
+    assert scores(spark, large, scoring.EMPHASIS, None, "")[0]["neutral"] == 1.0
+    plan = scoring.score_messages(texts(spark, *values), large)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_joined_texts_move_as_texts(spark, lexicon, monkeypatch):
+    monkeypatch.setattr(lexicons, "MAX_INDEX_ROWS", 1)
+    moved = scoring.score_polarity(texts(spark, "good bad", "bad"), lexicon)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in moved and "_tokens" not in moved
+
+
 def test_properties_on_table(spark, medium_dir):
     """The sign follows the valence sum, shares add up, and the split is the known one."""
     from moodline.plans import adapters

@@ -37,18 +37,24 @@ def draw_with_replacement(
     Adds ``draw`` (from 1) and ``stream_id``. Only the order columns, which must be unique
     and known, are numbered; a draw meets a number, which the hash spreads evenly, and its
     message by the order columns after. Without messages there are no draws.
+
+    A session is a few bytes and its draws are ``n`` texts: partitions by the size of what
+    is read would leave the work to a few tasks, so draws and messages are dealt to all
+    ``spark.sql.shuffle.partitions``.
     """
+    parts = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = messages.agg(F.count(F.lit(1)).alias("n")).scalar()
     draws = (
-        sessions.select(session, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
+        sessions.select(session).repartition(parts).select(session, F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
         .withColumn("_idx", F.pmod(hashed(F.lit(seed), F.col(session), F.col("draw")), F.nullif(total, F.lit(0))))
         .withColumn("stream_id", stream_id(seed, F.col(session), F.col("draw")))
     )
     named = {c: f"_order_{i}" for i, c in enumerate(order)}
     numbers = with_index(messages.select(*order), order, "_idx", chunk_rows).withColumnsRenamed(named)
     placed = draws.join(numbers, "_idx").drop("_idx")
-    same = reduce(and_, [messages[c] == F.col(alias) for c, alias in named.items()])
-    return placed.join(messages, same).drop(*named.values())
+    dealt = messages.repartition(parts, *order)
+    same = reduce(and_, [dealt[c] == F.col(alias) for c, alias in named.items()])
+    return placed.repartition(parts, *named.values()).join(dealt, same).drop(*named.values())
 
 
 def stream_id(seed: int, session: Column, draw: Column) -> Column:

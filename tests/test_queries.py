@@ -51,6 +51,11 @@ def test_draws_number_narrow_rows(spark, small_dir):
     assert any("Project" in line for line in gathered) and not any("text" in line for line in gathered)
 
 
+def test_draws_are_dealt_to_all_partitions(spark, small_dir):
+    drawn = sampling.draw_with_replacement(adapters.clean(spark, small_dir).drop("client"), adapters.sessions(spark, small_dir), 5, order=["seq"])
+    assert drawn.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
 def test_no_query_builds_pairs(spark, small_dir):
     for name in ("status_snapshot", "draw_with_replacement", "packet_counters", "running_totals", "client_stats"):
         plan = plan_of(QUERIES[name](spark, small_dir))

@@ -119,12 +119,13 @@ def running_values(
     sums: Mapping[str, Column],
     maxima: Mapping[str, Column] | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    sizes: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums and running maxima per key.
 
     ``order`` must be unique within a key; keys and order are integers, strings,
     booleans, dates or timestamps. Sums are of integers. Counting the keys runs a job at
-    once. With a hot key ``df`` is read three times more, twice only for its keys, order
+    once, unless ``sizes`` gives the rows of the table and of its largest key. With a hot key ``df`` is read three times more, twice only for its keys, order
     and summed columns: ``stored`` it first when those are costly to compute.
     """
     maxima = dict(maxima or {})
@@ -133,7 +134,7 @@ def running_values(
     folds = {name: (F.sum, value) for name, value in sums.items()}
     folds.update({name: (F.max, value) for name, value in maxima.items()})
     others = [c for c in df.columns if c not in folds]
-    total, largest = _sizes(df, keys)
+    total, largest = _sizes(df, keys) if sizes is None else sizes
     frame = (Window.unboundedPreceding, Window.currentRow)
 
     if largest <= chunk_rows:
@@ -195,7 +196,7 @@ def trailing_counts(
     burst does not make the frame expensive. With a hot key it is one running sum
     over marks: +1 at t, -1 at t + width, read at t after both.
     """
-    _, largest = _sizes(df, keys)
+    total, largest = _sizes(df, keys)
     if largest <= chunk_rows:
         until = Window.partitionBy(*keys).orderBy(micros)
         now = F.count(F.lit(1)).over(until.rangeBetween(Window.unboundedPreceding, Window.currentRow))
@@ -220,8 +221,9 @@ def trailing_counts(
         F.col("_mark.kind").alias("_kind"),
         F.col("_mark.delta").alias("_delta"),
     )
+    # every row has three marks
     counted = running_values(
-        marked, keys, ["_at", "_kind", *order], {name: F.col("_delta")}, chunk_rows=chunk_rows
+        marked, keys, ["_at", "_kind", *order], {name: F.col("_delta")}, chunk_rows=chunk_rows, sizes=(3 * total, 3 * largest)
     )
     return counted.filter(F.col("_kind") == reads).select(*df.columns, name)
 

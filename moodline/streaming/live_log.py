@@ -141,7 +141,7 @@ def trailing_rate_step(
         waiting = keep(waiting, "waiting")
         ready = waiting.filter(F.col("_micros") < mark)
         counted = ready.withColumn("_rated", F.lit(True)).unionByName(earlier.withColumn("_rated", F.lit(False)), allowMissingColumns=True)
-        rated = trailing_counts(keep(counted, "counted"), [], "_micros", ["seq"], width, "sends", chunk_rows).filter("_rated")
+        rated = trailing_counts(counted, [], "_micros", ["seq"], width, "sends", chunk_rows).filter("_rated")
         window = earlier.unionByName(ready.select("seq", "_micros")).filter(F.col("_micros") > mark - width)
         return (
             {"rates": _capped(rated, cap).select(*_COLUMNS, "sends", "sends_capped"), "late_sends": late.drop("_micros")},

@@ -97,3 +97,13 @@ def test_times_order_in_chunks_as_in_windows(spark):
     for n in (1000, 50):
         with pytest.raises(TypeError, match="double"):
             ordered.running_values(base.select(F.col("i").cast("double").alias("d")), [], ["d"], {"s": F.lit(1)}, chunk_rows=n)
+
+
+def test_a_hot_key_is_sized_once_for_trailing_counts(spark, monkeypatch):
+    sized, sizes = [], ordered._sizes
+    monkeypatch.setattr(ordered, "_sizes", lambda df, keys: sized.append(keys) or sizes(df, keys))
+    df = spark.range(40).selectExpr("id AS seq", "id div 2 * 7 AS micros", "id % 3 = 0 AS odd")
+    whole = ordered.trailing_counts(df, [], "micros", ["seq"], 21)
+    cut = ordered.trailing_counts(df, [], "micros", ["seq"], 21, chunk_rows=6)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    assert len(sized) == 2

@@ -5,7 +5,8 @@ Up to ``MAX_INDEX_ROWS`` rows it becomes a constant of the plan: an array of sma
 maps, addressed by the hash of the token. Scoring then needs no join and no
 shuffle, and no text ever leaves its row. Of a larger lexicon the entries that the
 texts hold are looked for first, by their different tokens; when those are few enough
-they become the constant, and only when they are not is every token joined.
+they become the constant, and only when they are not is every token joined: where
+the tokens are, with up to ``MAX_BROADCAST_ROWS`` such entries, and sent to them beyond.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from moodline.schemas import LEXICON
 
 MAX_INDEX_ROWS = 50_000
 MAX_INDEX_CHARS = 2_000_000
+MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_CHARS = 10_000_000
 SALTS = 16
 
+_FIELDS = ("valence", "polarity", "subjectivity")
 _ENTRY = "struct<valence:int,polarity:int,subjectivity:int>"
 
 # The default word list.
@@ -221,14 +225,10 @@ def check_lexicon(lexicon: DataFrame) -> None:
 
 def build_index(lexicon: DataFrame) -> TokenIndex | None:
     """Index a lexicon that is proven small; None for a larger one."""
-    size = (
-        lexicon.limit(MAX_INDEX_ROWS + 1)
-        .agg(F.count(F.lit(1)).alias("entries"), F.sum(F.length("token")).alias("chars"))
-        .first()
-    )
-    if size["entries"] > MAX_INDEX_ROWS or (size["chars"] or 0) > MAX_INDEX_CHARS:
+    entries = _size_within(lexicon, MAX_INDEX_ROWS, MAX_INDEX_CHARS)
+    if entries is None:
         return None
-    slots = 1 << max(0, size["entries"].bit_length())
+    slots = 1 << max(0, entries.bit_length())
     by_slot = (
         _entries(lexicon)
         .groupBy(F.hash("token").bitwiseAND(F.lit(slots - 1)).alias("slot"))
@@ -238,6 +238,12 @@ def build_index(lexicon: DataFrame) -> TokenIndex | None:
     return TokenIndex(slots, "[" + ",".join(filled.get(i, "{}") for i in range(slots)) + "]")
 
 
+def _size_within(lexicon: DataFrame, max_rows: int, max_chars: int) -> int | None:
+    """The number of entries, None when they or their tokens are more than that."""
+    size = lexicon.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("entries"), F.sum(F.length("token")).alias("chars")).first()
+    return None if size["entries"] > max_rows or (size["chars"] or 0) > max_chars else size["entries"]
+
+
 def _entries(lexicon: DataFrame) -> DataFrame:
     entry = F.struct(
         F.col("valence_tenths").alias("valence"),
@@ -311,24 +317,29 @@ def _occurring(df: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
 
 
 def _join_hits(df: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
-    """The same for a lexicon of any size: join the tokens, then gather each text's ``_joined_hits``.
+    """The same for a lexicon of any size: join the tokens, then gather each row's ``_joined_hits``.
 
-    Equal texts are looked up once. A text is one cell, so its gathered hits are no
-    larger than the text itself. Both joins are salted, against frequent tokens and
-    against texts with very many copies. Texts are known by 128 bits of their SHA-256 and
-    cut into tokens after they have moved: arrays of tokens are several times their size.
+    Rows are numbered and stored, so that what is sent carries eight bytes of its row, and once.
+    A lexicon that may be broadcast meets the texts where their hits are gathered: only texts
+    move. Of a larger one tokens and hits move too, salted by row and position against frequent
+    tokens, those of texts with very many copies among them. A text is one cell, so its gathered
+    hits are no larger than the text itself.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    digest = F.unhex(F.substring(F.sha2(text, 256), 1, 32))
-    keyed = df.withColumn("_digest", digest).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    texts = keyed.groupBy("_digest").agg(F.any_value(text).alias("_text"))
-    spread = texts.select("_digest", F.posexplode(tokens(F.col("_text"))).alias("pos", "token")).select(
-        "_digest", "pos", F.lower("token").alias("token"), (F.col("pos") % SALTS).alias("_salt")
-    )
-    hits = (
-        spread.join(_entries(lexicon).withColumn("_salt", salts), ["token", "_salt"])
-        .groupBy("_digest")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("_joined_hits"))
-        .withColumn("_salt", salts)
-    )
-    return keyed.join(hits, ["_digest", "_salt"], "left").select(*df.columns, "_joined_hits")
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    entries = _entries(lexicon).select("token", "entry.*")
+    word = F.lower("_word") == F.col("token")
+    if _size_within(lexicon, MAX_BROADCAST_ROWS, MAX_BROADCAST_CHARS) is not None:
+        found = _spread(rows.repartition("_row"), text).join(F.broadcast(entries), word)
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salt = F.pmod(F.col("_row") + F.col("pos"), F.lit(SALTS)) == F.col("_salt")
+        # not broadcast, however small Spark takes it for: its estimate leaves the salts out
+        salted = entries.withColumn("_salt", salts).hint("merge")
+        found = _spread(rows, text).join(salted, word & salt).select("_row", "pos", *_FIELDS).repartition("_row")
+    hit = F.struct("pos", F.struct(*_FIELDS).alias("entry"))
+    hits = found.groupBy("_row").agg(F.sort_array(F.collect_list(hit)).alias("_joined_hits"))
+    return rows.join(hits, "_row", "left").select(*df.columns, "_joined_hits")
+
+
+def _spread(rows: DataFrame, text: str) -> DataFrame:
+    return rows.select("_row", F.posexplode(tokens(F.col(text))).alias("pos", "_word"))

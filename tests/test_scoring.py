@@ -131,6 +131,46 @@ def test_joined_texts_move_as_texts(spark, lexicon, monkeypatch):
     assert "Join" in moved and "_tokens" not in moved
 
 
+@pytest.mark.parametrize("broadcast_rows", [1, 500_000])
+@pytest.mark.parametrize("level", [scoring.PLAIN, scoring.EMPHASIS])
+def test_both_joins_give_the_same(spark, lexicon, level, broadcast_rows, monkeypatch):
+    values = ["Good BAD!", None, "not good good but very bad", "x", "", None] + 40 * ["Good BAD!"] + ["good " * 100]
+    small = scores(spark, lexicon, level, *values)
+    monkeypatch.setattr(lexicons, "MAX_INDEX_ROWS", 1)
+    monkeypatch.setattr(lexicons, "MAX_BROADCAST_ROWS", broadcast_rows)
+    assert scores(spark, lexicon, level, *values) == small
+    twice = spark.createDataFrame([(None, "good"), (1, "bad"), (1, "bad"), (None, "good"), (None, None)], "id int, text string")
+    got = scoring.score_polarity(twice, lexicon).select("id", "text", "polarity").collect()
+    assert sorted(map(str, got)) == sorted(
+        f"Row(id={i}, text={t!r}, polarity={p})" for i, t, p in 2 * [(None, "good", 0.7), (1, "bad", -0.7)] + [(None, None, 0.0)]
+    )
+
+
+@pytest.fixture
+def joins_as_at_size(spark):
+    """Small tables are not broadcast for their size."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_only_texts_move_to_a_lexicon_that_is_broadcast(spark, lexicon, monkeypatch, joins_as_at_size):
+    monkeypatch.setattr(lexicons, "MAX_INDEX_ROWS", 1)
+    plan = scoring.score_polarity(texts(spark, "good bad", "bad"), lexicon)._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(sent) == 2 and all("hashpartitioning(_row#" in line for line in sent)
+
+
+def test_hits_of_a_join_are_sent_once(spark, lexicon, monkeypatch, joins_as_at_size):
+    monkeypatch.setattr(lexicons, "MAX_INDEX_ROWS", 1)
+    monkeypatch.setattr(lexicons, "MAX_BROADCAST_ROWS", 1, raising=False)
+    plan = scoring.score_polarity(texts(spark, "good bad", "bad"), lexicon)._jdf.queryExecution().executedPlan().toString()
+    salted = [line for line in plan.splitlines() if "Generate explode(" in line and "[_salt#" in line]
+    assert len(salted) == 1 and "token#" in salted[0] and "BroadcastHashJoin" not in plan
+
+
 def test_properties_on_table(spark, medium_dir):
     """The sign follows the valence sum, shares add up, and the split is the known one."""
     from moodline.plans import adapters

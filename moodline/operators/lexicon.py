@@ -328,14 +328,16 @@ def _join_hits(df: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
     rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "texts")
     entries = _entries(lexicon).select("token", "entry.*")
     word = F.lower("_word") == F.col("token")
+    # by number, which keeps Spark from putting partitions together: tokens are many times their texts
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if _size_within(lexicon, MAX_BROADCAST_ROWS, MAX_BROADCAST_CHARS) is not None:
-        found = _spread(rows.repartition("_row"), text).join(F.broadcast(entries), word)
+        found = _spread(rows.repartition(parts, "_row"), text).join(F.broadcast(entries), word)
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         salt = F.pmod(F.col("_row") + F.col("pos"), F.lit(SALTS)) == F.col("_salt")
         # not broadcast, however small Spark takes it for: its estimate leaves the salts out
         salted = entries.withColumn("_salt", salts).hint("merge")
-        found = _spread(rows, text).join(salted, word & salt).select("_row", "pos", *_FIELDS).repartition("_row")
+        found = _spread(rows, text).join(salted, word & salt).select("_row", "pos", *_FIELDS).repartition(parts, "_row")
     hit = F.struct("pos", F.struct(*_FIELDS).alias("entry"))
     hits = found.groupBy("_row").agg(F.sort_array(F.collect_list(hit)).alias("_joined_hits"))
     return rows.join(hits, "_row", "left").select(*df.columns, "_joined_hits")

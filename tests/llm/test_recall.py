@@ -54,3 +54,23 @@ def test_clusters_of_different_lengths(spark):
             vectors[at] = centre + 0.1 * size * rng.standard_normal(32)
             at += 1
     assert np.mean(list(recalls(spark, vectors).values())) >= 0.95
+
+
+def test_rows_follow_the_parts(spark, monkeypatch):
+    """Graph and beams are a row for a part: what the driver keeps a record of does not follow the vectors."""
+    rng = np.random.default_rng(4)
+    vectors = {i: unit(rng) for i in range(600)}
+    rows = []
+    write = nn_descent.staged
+
+    def staged(df, label):
+        out = write(df, label)
+        if label in ("graph", "beam"):
+            rows.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(nn_descent, "staged", staged)
+    monkeypatch.setattr(nn_descent, "PART", 50, raising=False)
+    got = recalls(spark, vectors)
+    assert len(got) == 30 and np.mean(list(got.values())) >= 0.95
+    assert {label for label, _ in rows} == {"graph", "beam"} and max(n for _, n in rows) <= 25
